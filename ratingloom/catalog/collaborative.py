@@ -18,6 +18,7 @@ from ratingloom.catalog.sql_parts import (
 )
 from ratingloom.operators import collaborative, evaluation, factorization, recommend, sampling
 from ratingloom.operators.similarity import rating_similarity
+from ratingloom.session import durable
 
 IDS = ("user_id", "parent_asin")
 SPLITS = ((0.1, 42), (0.2, 19), (0.3, 27))
@@ -38,22 +39,22 @@ SELECT a, b, n, round(sim, 6) AS sim FROM sims"""
 
 @query("sim_cosine", _sim_sql("cosine", 2))
 def sim_cosine(spark, d):
-    return _rounded(rating_similarity(views.matrix(spark, d), "cosine", True, 2), "sim")
+    return _rounded(rating_similarity(durable(views.matrix(spark, d)), "cosine", True, 2), "sim")
 
 
 @query("sim_pearson", _sim_sql("pearson", 3))
 def sim_pearson(spark, d):
-    return _rounded(rating_similarity(views.matrix(spark, d), "pearson", True, 3), "sim")
+    return _rounded(rating_similarity(durable(views.matrix(spark, d)), "pearson", True, 3), "sim")
 
 
 @query("sim_msd", _sim_sql("msd", 2))
 def sim_msd(spark, d):
-    return _rounded(rating_similarity(views.matrix(spark, d), "msd", True, 2), "sim")
+    return _rounded(rating_similarity(durable(views.matrix(spark, d)), "msd", True, 2), "sim")
 
 
 @query("sim_item_based", _sim_sql("cosine", 2, by_user=False))
 def sim_item_based(spark, d):
-    return _rounded(rating_similarity(views.matrix(spark, d), "cosine", False, 2), "sim")
+    return _rounded(rating_similarity(durable(views.matrix(spark, d)), "cosine", False, 2), "sim")
 
 
 def _predict_sql(k: int, by_user: bool, tag: str = "") -> str:
@@ -84,8 +85,8 @@ test{tag} AS (SELECT user_id, parent_asin, rating FROM marked{tag} WHERE is_test
 {mirrored(f'sims{tag}', f'both_ways{tag}')}, {_predict_sql(k, by_user, tag)}"""
 
 
-def _holdout_predictions(spark, d, size, seed, measure, support, k, by_user=True):
-    marked = sampling.split_holdout(views.matrix(spark, d), size, seed)
+def _holdout_predictions(matrix, size, seed, measure, support, k, by_user=True):
+    marked = durable(sampling.split_holdout(matrix, size, seed))
     train = marked.where(~F.col("is_test")).drop("is_test")
     test = marked.where("is_test").drop("is_test")
     sims = rating_similarity(train, measure, by_user, support)
@@ -95,13 +96,13 @@ def _holdout_predictions(spark, d, size, seed, measure, support, k, by_user=True
 @query("knn_predict", f"""WITH {MATRIX}, {_holdout_sql(0.2, 42, 'cosine', 1, 20)}
 SELECT user_id, parent_asin, round(rating, 6) AS rating, round(pred, 6) AS pred FROM preds""")
 def knn_predict(spark, d):
-    return _rounded(_holdout_predictions(spark, d, 0.2, 42, "cosine", 1, 20), "rating", "pred")
+    return _rounded(_holdout_predictions(durable(views.matrix(spark, d)), 0.2, 42, "cosine", 1, 20), "rating", "pred")
 
 
 @query("knn_predict_items", f"""WITH {MATRIX}, {_holdout_sql(0.2, 42, 'msd', 2, 20, by_user=False)}
 SELECT user_id, parent_asin, round(rating, 6) AS rating, round(pred, 6) AS pred FROM preds""")
 def knn_predict_items(spark, d):
-    return _rounded(_holdout_predictions(spark, d, 0.2, 42, "msd", 2, 20, by_user=False), "rating", "pred")
+    return _rounded(_holdout_predictions(durable(views.matrix(spark, d)), 0.2, 42, "msd", 2, 20, by_user=False), "rating", "pred")
 
 
 def _eval_sql() -> str:
@@ -117,9 +118,9 @@ def _eval_sql() -> str:
 
 @query("knn_eval", _eval_sql())
 def knn_eval(spark, d):
-    out = None
+    matrix, out = durable(views.matrix(spark, d)), None
     for size, seed in SPLITS:
-        preds = _holdout_predictions(spark, d, size, seed, "cosine", 3, 20)
+        preds = _holdout_predictions(matrix, size, seed, "cosine", 3, 20)
         row = evaluation.accuracy(preds).select(
             F.lit(size).alias("test_size"), F.lit(seed).alias("seed"), "rmse", "mse", "mae", "n"
         )
@@ -231,7 +232,7 @@ cells AS (
 
 
 def _knn_cells(spark, d):
-    matrix = views.matrix(spark, d)
+    matrix = durable(views.matrix(spark, d))
     return matrix, collaborative.knn_cells(matrix, rating_similarity(matrix, "cosine", True, 3), 20)
 
 
@@ -283,7 +284,7 @@ def mf_bias(spark, d):
 @query("mf_als")
 def mf_als(spark, d):
     """Hold-out errors of the factor model and, for comparison, of the mean alone."""
-    marked = sampling.split_holdout(views.matrix(spark, d), 0.2, 42)
+    marked = durable(sampling.split_holdout(durable(views.matrix(spark, d)), 0.2, 42))
     train = marked.where(~F.col("is_test")).drop("is_test")
     test = marked.where("is_test").drop("is_test")
     model = factorization.fit_factors(train, 50, 10, 0.1)

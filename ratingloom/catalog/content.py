@@ -10,6 +10,7 @@ from ratingloom.catalog.registry import query
 from ratingloom.catalog.sql_parts import EMB, RATINGS, hash_key, hash_number, holdout, neighbors
 from ratingloom.functions.vectors import l2_normalize
 from ratingloom.operators import clustering, content, diagnostics, evaluation, nearest, recommend, sampling
+from ratingloom.session import durable
 
 KS = (5, 10, 15, 20, 30, 40)
 KEYS = ("user_id", "parent_asin", "rating")
@@ -333,7 +334,7 @@ def _profiles(spark, d):
 @query("user_clusters")
 def user_clusters(spark, d):
     """Clusters of users by their scaled predictions, with their profile."""
-    features = _profiles(spark, d).persist()
+    features = durable(_profiles(spark, d))
     model = clustering.best_kmeans(features, 4, restarts=3, max_iter=20)
     members = clustering.assign_clusters(model, features, "user_id")
     return clustering.cluster_profile(views.ratings(spark, d), members)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.functions.text import simple_tokens
+from ratingloom.operators.embedding import token_table
 from ratingloom.operators.filters import rating_matrix
 
 
@@ -96,4 +96,4 @@ def word_vectors(spark: SparkSession, sf_dir: str, words: DataFrame, spread: int
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", simple_tokens(F.col("text")).alias("tokens"))
+    return token_table(table(spark, sf_dir, "documents"), "doc_id")

@@ -26,8 +26,12 @@ def l2_norm(v: Column) -> Column:
 
 def l2_normalize(v: Column, epsilon: float = 1e-12) -> Column:
     """``v`` divided by its length; a zero vector stays zero."""
-    length = F.greatest(l2_norm(v), F.lit(epsilon))
-    return bind(length, lambda n: F.transform(v, lambda x: x.cast("double") / n))
+
+    def scaled(vector: Column) -> Column:
+        length = F.greatest(l2_norm(vector), F.lit(epsilon))
+        return bind(length, lambda n: F.transform(vector, lambda x: x.cast("double") / n))
+
+    return bind(v, scaled)
 
 
 def squared_distance(a: Column, b: Column) -> Column:

@@ -18,6 +18,7 @@ from ratingloom.operators.nearest import BLOCK_ROWS, into_tiles
 from ratingloom.operators.sampling import sample_exact
 from ratingloom.operators.skew import exact_quantiles, number_in_order
 from ratingloom.schemas import ITEM, RATING, USER
+from ratingloom.session import durable
 
 MAX_POINTS = 20_000
 DRIVER_DIMS = 4_000
@@ -35,6 +36,7 @@ def robust_scale(cells: DataFrame, users: DataFrame, fallback: DataFrame, user:
     ``base``, the scaled fallback, which is what the cells left out would hold. A zero
     range divides by 1.
     """
+    cells = durable(cells.select(user, item, "pred"))
     n_users = users.agg(F.countDistinct(user)).scalar()
     stored = cells.groupBy(item).agg(F.count(F.lit(1)).alias("_have"))
     filler = (
@@ -73,6 +75,7 @@ def user_profiles(scaled: DataFrame, users: DataFrame, user: str = USER, item: s
     and with them k-means, silhouette and principal components, stay what they are on the
     dense matrix, while a profile keeps only as many entries as the user has cells.
     """
+    scaled = durable(scaled)
     positions = number_in_order(scaled, item)
     size = scaled.agg(F.countDistinct(item)).first()[0]
     entries = (
@@ -312,6 +315,7 @@ def best_k(sweep: DataFrame) -> DataFrame:
 
 def project_2d(features: DataFrame, id_col: str) -> DataFrame:
     """``(id, pc1, pc2, ratio1, ratio2)``: centred coordinates on the first two components."""
+    features = durable(features.select(id_col, "features"))
     width = features.select("features").first()["features"].size
     if width > DRIVER_DIMS:
         raise ValueError(f"{width} columns: the covariance would not fit the driver, reduce the items first")

@@ -13,6 +13,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.operators.skew import running_counts
+from ratingloom.session import durable
 
 
 def _mirror(upper: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -54,7 +55,7 @@ def _pair_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for a, b in combinations(columns, 2)
     ]
     # cells of the whole row are counted first, so a repeated row is unpivoted once
-    return (
+    cells = (
         df.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(F.inline(F.array(*pairs)), "_n")
@@ -62,6 +63,8 @@ def _pair_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("col_x", "col_y", "x", "y")
         .agg(F.sum("_n").alias("cnt"))
     )
+    # ranks, ties and the cells themselves all start from here
+    return durable(cells)
 
 
 PAIR = ("col_x", "col_y")

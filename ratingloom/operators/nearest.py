@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ratingloom.functions.vectors import cosine, squared_distance
+from ratingloom.session import durable
 
 BLOCK_ROWS = 2_048
 SPARSE_BLOCK_ROWS = 512
@@ -171,7 +172,7 @@ def sparse_neighbors(
         F.col(index_col).cast("array<bigint>").alias("_idx"),
         F.col(value_col).cast("array<double>").alias("_val"),
     )
-    tiles = into_tiles(rows, "_id", block_rows)
+    tiles = into_tiles(durable(rows), "_id", block_rows)
     partial = tiles.groupBy("_x", "_y").applyInArrow(
         _tile_neighbors(_sparse_similarity, "cosine", k), "item string, neighbor string, sim double"
     )

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ratingloom.session import durable
+from ratingloom.session import durable_in_order
 
 ROWS_PER_FRAGMENT = 2_000
 RANGE_BUCKETS = 4_096
@@ -169,7 +169,7 @@ def number_in_order(df: DataFrame, column: str, name: str = "pos") -> DataFrame:
     The sorted copy is written to the shared checkpoint folder, which freezes its
     partitions; positions are then the partition's offset plus the row's place in it.
     """
-    frozen = durable(df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column))
+    frozen = durable_in_order(df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column))
     tagged = frozen.select(
         column,
         F.spark_partition_id().alias("_p"),

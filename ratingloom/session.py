@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+_scratch: list[tempfile.TemporaryDirectory] = []
 
-def local_session(cores: str = "*", app: str = "ratingloom", shuffle_partitions: int = 8) -> SparkSession:
+
+def local_session(cores: str = "*", app: str = "ratingloom", shuffle_partitions: int = 32) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster use the session you are given."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -22,20 +25,46 @@ def local_session(cores: str = "*", app: str = "ratingloom", shuffle_partitions:
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for handed-over tables, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local master may fall
-    back to a scratch folder of its own; a cluster without the setting is an error,
-    as executors could not read a driver-local path.
+    Only a local master may fall back to a scratch folder of its own, removed at exit. A
+    cluster without the setting is an error: executors could not read a driver-local path.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        _scratch.append(tempfile.TemporaryDirectory(prefix="ratingloom-", ignore_cleanup_errors=True))
+        folder = _scratch[-1].name
     if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            shared = tempfile.mkdtemp(prefix="ratingloom-checkpoint-")
-        sc.setCheckpointDir(shared)
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` computed once, written to the shared folder as Parquet and read back.
+
+    For results that several later branches use: each of them reads only the columns it
+    needs, and a lost executor costs a re-read instead of the whole history.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def durable_in_order(df: DataFrame) -> DataFrame:
+    """As ``durable``, but keeping partitions and the row order inside them as they are."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over the cores by ``key`` if the input has fewer partitions than cores.
+
+    For heavy work per row on a table of few large files; a table with enough partitions
+    is left as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * 2, F.col(key)) if df.rdd.getNumPartitions() < cores else df

@@ -10,6 +10,7 @@ from ratingloom.catalog.sql_parts import MATRIX, META, RATINGS, REVIEWS, hash_ke
 from ratingloom.functions.columns import clean_price, clip
 from ratingloom.operators import correlation, filters, profile, sampling
 from ratingloom.operators.features import documents, text_table
+from ratingloom.session import durable
 from ratingloom.sources.tables import merge_parts
 
 KEYS = ("user_id", "parent_asin", "rating")
@@ -111,7 +112,7 @@ SELECT user_id, parent_asin, rating FROM (
 WHERE n <= 20000""")
 def filter_and_sample(spark, d):
     kept = filters.min_count_filter(views.ratings(spark, d), 20, 20, strict=True)
-    return sampling.sample_exact(kept, 20_000, 42, KEYS)
+    return sampling.sample_exact(durable(kept), 20_000, 42, KEYS)
 
 
 @query("align_meta", f"""WITH {RATINGS}, {META}, kept AS (
@@ -140,7 +141,7 @@ def sample_exact(spark, d):
 @query("split_holdout", f"""WITH {MATRIX}, {holdout('matrix', 0.2, 19, ('user_id', 'parent_asin'))}
 SELECT user_id, parent_asin, is_test FROM marked""")
 def split_holdout(spark, d):
-    return sampling.split_holdout(views.matrix(spark, d), 0.2, 19).select("user_id", "parent_asin", "is_test")
+    return sampling.split_holdout(durable(views.matrix(spark, d)), 0.2, 19).select("user_id", "parent_asin", "is_test")
 
 
 @query("kfold_assign", f"""WITH {MATRIX}

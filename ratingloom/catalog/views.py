@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.operators.embedding import token_table
 from ratingloom.operators.filters import rating_matrix
+from ratingloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 

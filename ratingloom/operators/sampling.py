@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.schemas import ITEM, USER
 
-HASH_BUCKETS = 65_536
+PREFIX = 4  # hex digits: 65,536 equal ranges of the hash
 COPIES_PER_ROW = 10_000
 
 
@@ -25,14 +25,13 @@ def _hash_number(digest: Column, digits: int) -> Column:
 def _mark_first(df: DataFrame, keys: Sequence[str], seed: int, quota: Callable[[Column], Column]) -> DataFrame:
     """Flag the first ``quota(total)`` rows in hash order as ``_picked``.
 
-    The hash is cut into 65,536 equal ranges. Their counts (a bounded table) tell which
-    ranges lie wholly inside or outside the quota, so those rows need no sort. Only the
-    one range that holds the border is ordered, after equal rows in it were counted together.
+    The hash is cut into 65,536 equal ranges. Their counts, a bounded table, tell the one
+    range that holds the border. All other rows are decided by comparing their range with
+    it; only the border range is ordered, after equal rows in it were counted together.
     """
     columns = df.columns
-    hashed = df.withColumn("_h", key_hash(keys, seed)).withColumn("_b", _hash_number(F.col("_h"), 4).cast("int"))
+    hashed = df.withColumn("_h", key_hash(keys, seed)).withColumn("_b", F.substring("_h", 1, PREFIX))
     ahead = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
     ranges = (
         hashed.groupBy("_b")
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -40,37 +39,36 @@ def _mark_first(df: DataFrame, keys: Sequence[str], seed: int, quota: Callable[[
             "_b",
             "_n",
             F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"),
-            quota(F.sum("_n").over(everything)).cast("long").alias("_quota"),
+            quota(F.sum("_n").over(Window.partitionBy())).cast("long").alias("_quota"),
         )
     )
-    inside = F.col("_before") + F.col("_n") <= F.col("_quota")
-    outside = F.col("_before") >= F.col("_quota")
-    # at most 65,536 rows of four numbers
-    placed = hashed.join(F.broadcast(ranges), "_b")
-    whole = placed.where(inside | outside).select(*columns, inside.alias("_picked"))
+    border = ranges.where(F.col("_before") + F.col("_n") > F.col("_quota")).agg(
+        F.min_by(F.struct("_b", "_before", "_quota"), F.col("_b")).alias("_cut")
+    )
+    # without a border range every row is picked; "g" sorts after all hex digits
+    everything = F.struct(
+        F.lit("g").alias("_b"), F.lit(0).cast("long").alias("_before"), F.lit(0).cast("long").alias("_quota")
+    )
+    cut = border.select(F.coalesce("_cut", everything)).scalar()
+    placed = hashed.withColumn("_cut", cut)
+    whole = placed.where(F.col("_b") != F.col("_cut._b")).select(
+        *columns, (F.col("_b") < F.col("_cut._b")).alias("_picked")
+    )
 
     in_order = Window.partitionBy("_b").orderBy("_h", *columns).rowsBetween(Window.unboundedPreceding, -1)
-    border = (
-        placed.where(~(inside | outside))
-        .groupBy("_b", "_h", "_before", "_quota", *columns)
+    left = F.col("_cut._quota") - F.col("_cut._before") - F.coalesce(F.sum("_copies").over(in_order), F.lit(0))
+    at_border = (
+        placed.where(F.col("_b") == F.col("_cut._b"))
+        .groupBy("_b", "_h", "_cut", *columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_seen", F.col("_before") + F.coalesce(F.sum("_copies").over(in_order), F.lit(0)))
-        .withColumn(
-            "_take", F.greatest(F.lit(0), F.least(F.col("_copies"), F.col("_quota") - F.col("_seen")))
-        )
-        .select(
-            *columns,
-            F.explode(
-                F.array(
-                    F.struct(F.lit(True).alias("_picked"), F.col("_take").alias("_times")),
-                    F.struct(F.lit(False).alias("_picked"), (F.col("_copies") - F.col("_take")).alias("_times")),
-                )
-            ).alias("_part"),
-        )
-        .select(*columns, "_part._picked", "_part._times")
-        .where(F.col("_times") > 0)
+        .withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_copies"), left)))
+    )
+    split = F.array(
+        F.struct(F.lit(True).alias("_picked"), F.col("_take").alias("_times")),
+        F.struct(F.lit(False).alias("_picked"), (F.col("_copies") - F.col("_take")).alias("_times")),
     )
-    return whole.unionByName(_repeat_rows(border, "_times").select(*columns, "_picked"))
+    parts = at_border.select(*columns, F.inline(split)).where(F.col("_times") > 0)
+    return whole.unionByName(_repeat_rows(parts, "_times").select(*columns, "_picked"))
 
 
 def _repeat_rows(df: DataFrame, times: str) -> DataFrame:

@@ -59,6 +59,7 @@ nn AS (
 SIMILARITY = {
     "cosine": "CASE WHEN sqrt(sxx * syy) > 0 THEN sxy / sqrt(sxx * syy) ELSE 0.0 END",
     "pearson": """CASE WHEN sqrt(greatest(n * sxx - sx * sx, 0.0) * greatest(n * syy - sy * sy, 0.0)) > 1e-6
+            AND abs(n * sxy - sx * sy) > 1e-6
        THEN (n * sxy - sx * sy) / sqrt(greatest(n * sxx - sx * sx, 0.0) * greatest(n * syy - sy * sy, 0.0))
        ELSE 0.0 END""",
     "msd": "1.0 / ((sxx - 2 * sxy + syy) / n + 1.0)",

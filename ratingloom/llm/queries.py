@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import blob_ledger, compression_bands, decontamination, personal_data
+from ratingloom.llm import blob_ledger, compression_bands, decontamination, ordinal_toxicity, personal_data, prefix_viterbi
 from ratingloom.llm.common import documents
 from ratingloom.session import shared_folder
 
@@ -72,3 +72,15 @@ FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.find_contamination(documents(spark, sf_dir), items).drop("hit_spans")
+
+
+@query("op8_prefix_viterbi")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_viterbi.encode_texts(documents(spark, sf_dir))
+
+
+@query("op9_ordinal_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = ordinal_toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return ordinal_toxicity.score_toxicity(docs, model)

@@ -6,7 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import blob_ledger, compression_bands, decontamination, ordinal_toxicity, personal_data, prefix_viterbi
+from ratingloom.llm import (
+    blob_ledger,
+    compression_bands,
+    decontamination,
+    minmax_dedup,
+    ordinal_toxicity,
+    personal_data,
+    prefix_viterbi,
+)
 from ratingloom.llm.common import documents
 from ratingloom.session import shared_folder
 
@@ -84,3 +92,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = ordinal_toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return ordinal_toxicity.score_toxicity(docs, model)
+
+
+NEAR_DUPLICATES_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), classes AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY sig, n) AS first
+  FROM (SELECT doc_id, count(*) AS n, sha256(string_agg(s, chr(1) ORDER BY s)) AS sig FROM shingles GROUP BY doc_id)
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+  WHERE x.doc_id IN (SELECT first FROM classes) AND y.doc_id IN (SELECT first FROM classes)
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)
+  UNION SELECT first, doc_id FROM classes WHERE first <> doc_id
+), ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION SELECT r.node, e.b FROM reach r JOIN ends e ON e.a = r.seen
+), roots AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM documents JOIN roots ON node = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@query("op6_minmax_dedup", NEAR_DUPLICATES_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(documents(spark, sf_dir)).drop("class_id")

@@ -14,8 +14,9 @@ from ratingloom.llm import (
     ordinal_toxicity,
     personal_data,
     prefix_viterbi,
+    warc_chain,
 )
-from ratingloom.llm.common import documents
+from ratingloom.llm.common import documents, pages
 from ratingloom.session import shared_folder
 
 QUERIES = {}
@@ -126,3 +127,22 @@ FROM documents JOIN roots ON node = doc_id LEFT JOIN sizes USING (doc_id)
 @query("op6_minmax_dedup", NEAR_DUPLICATES_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(documents(spark, sf_dir)).drop("class_id")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), b AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    (CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY hex) AS last FROM p
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to,
+  true AS verified
+FROM b
+"""
+
+
+@query("op4_warc_boundary_chain", WARC_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_chain.round_trip(pages(spark, sf_dir), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")

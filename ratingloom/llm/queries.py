@@ -10,6 +10,7 @@ from ratingloom.llm import (
     blob_ledger,
     compression_bands,
     decontamination,
+    dom_extraction,
     minmax_dedup,
     ordinal_toxicity,
     personal_data,
@@ -146,3 +147,9 @@ FROM b
 @query("op4_warc_boundary_chain", WARC_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chain.round_trip(pages(spark, sf_dir), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
+
+
+@query("op10_dom_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = pages(spark, sf_dir)
+    return dom_extraction.extract(table, dom_extraction.fit(table))

@@ -11,6 +11,7 @@ from ratingloom.llm import (
     compression_bands,
     decontamination,
     dom_extraction,
+    interval_repeats,
     minmax_dedup,
     ordinal_toxicity,
     personal_data,
@@ -153,3 +154,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = pages(spark, sf_dir)
     return dom_extraction.extract(table, dom_extraction.fit(table))
+
+
+@query("op7_interval_repeats")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interval_repeats.remove_repeats(documents(spark, sf_dir)).drop("removed")

@@ -14,11 +14,12 @@ words have no window; items with equal windows are all reported. Extra columns a
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratingloom.llm.common import map_rows, sha256_hex
 
@@ -121,3 +122,16 @@ def find_contamination(
     """Columns ``keep``, the counts, the digest of the items found and the hit spans in code points; no shuffle."""
     blocks = item_blocks(benchmark, max_bytes=max_bytes)
     return map_rows(docs, [text], scanner(docs.sparkSession, blocks, width), SCHEMA, keep)
+
+
+def is_contaminated(text: Column, spark: SparkSession, benchmark: DataFrame, width: int = WINDOW, max_bytes: int = MAX_BYTES) -> Column:
+    """Whether a text holds a window of an item, as a column for filters: only the text goes to Python."""
+    make = scanner(spark, item_blocks(benchmark, max_bytes=max_bytes), width)
+
+    @F.pandas_udf("boolean")
+    def verdict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scan = make()
+        for texts in batches:
+            yield pd.Series([scan(t)[4] for t in texts], dtype=bool)
+
+    return verdict(text)

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ratingloom.llm.common import slices
 from ratingloom.llm.components import components
@@ -248,10 +248,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
 
 
 def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: one row per component, all columns as they were."""
-    from pyspark.sql import Window
-
-    kept = near_duplicates(docs, text, key, percent).filter("kept").select(F.col("doc_id").alias("_kept"))
-    stay = docs.join(kept, docs[key].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` without near-duplicates, all columns as they were.
+
+    One row per component stays, of rows that share its doc_id the one with the largest text; rows
+    with a null doc_id, which have no component, all stay.
+    """
+    named = docs.filter(docs[key].isNotNull())
+    kept = near_duplicates(named, text, key, percent).filter("kept").select(F.col("doc_id").alias("__kept_id"))
+    stay = named.join(kept, named[key] == F.col("__kept_id"), "left_semi")
     number = F.row_number().over(Window.partitionBy(F.col(key)).orderBy(F.col(text).desc_nulls_last()))
-    return stay.withColumn("_nth", number).filter("_nth = 1").drop("_nth")
+    return stay.withColumn("__nth_row", number).filter("__nth_row = 1").drop("__nth_row").union(docs.filter(docs[key].isNull()))

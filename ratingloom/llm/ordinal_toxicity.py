@@ -18,9 +18,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratingloom.llm.common import bounded_sample, collected, map_rows
@@ -164,11 +166,11 @@ def score_toxicity(
 
 def is_toxic(text: Column, model: Model, reject_at: float = REJECT_AT) -> Column:
     """The verdict as a column, for filters: only the text goes to Python."""
-    import pandas as pd
 
     @F.pandas_udf("boolean")
-    def verdict(batches: "pd.Series") -> "pd.Series":
+    def verdict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = Scorer(model, reject_at)
-        return batches.map(lambda t: score(t)[3])
+        for texts in batches:
+            yield pd.Series([score(t)[3] for t in texts], dtype=bool)
 
     return verdict(text)

@@ -20,7 +20,8 @@ import math
 import re
 from collections import defaultdict
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ratingloom.llm.common import bounded_sample, collected, map_rows, sha256_hex
 
@@ -395,3 +396,13 @@ def masked(text: str | None, weights: dict[str, float], margin: float = MARGIN)
         elif end > at:  # overlaps the span before: its rest goes too
             at = end
     return "".join([*pieces, text[at:]])
+
+
+def without_personal_data(text: Column, weights: dict[str, float], margin: float = MARGIN) -> Column:
+    """The masked text as a column: only the text goes to Python. Null stays null."""
+
+    @F.pandas_udf("string")
+    def mask(texts: pd.Series) -> pd.Series:
+        return pd.Series([masked(t, weights, margin) for t in texts], dtype=object)
+
+    return mask(text)

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -284,11 +285,10 @@ def encode_texts(docs: DataFrame, model: str = MODEL, text: str = "text", keep:
 
 def decode_ids(encoded: DataFrame, model: str = MODEL, ids: str = "token_ids", out: str = "text") -> DataFrame:
     """The rows with a column ``out`` that holds the text of their ids (null ids: null)."""
-    import pandas as pd
 
     @F.pandas_udf("string")
-    def texts(column: "pd.Series") -> "pd.Series":
+    def texts(column: pd.Series) -> pd.Series:
         vocab = vocabulary(model)
-        return column.map(lambda x: None if x is None else decode(x, vocab))
+        return pd.Series([None if x is None else decode(x, vocab) for x in column], dtype=object)
 
     return encoded.withColumn(out, texts(F.col(ids)))

@@ -245,9 +245,11 @@ def maximal_repeats(occurrences: list[tuple[int, int, bytes, bytes]], size: int
     for depth, first, last in _intervals_of(rows, size):
         members = sorted(rows[first : last + 1], key=lambda r: r[2])
         shared = [0] + [min(_common(x[2], y[2], left), x[3], y[3]) for x, y in zip(members, members[1:])]
-        # where all bytes before agree the group could be longer to the left; the diverse groups are the intervals of the reversed bytes
-        whole = [(0, 0, len(members) - 1)] if not any(s == 0 for s in shared[1:]) else []
-        for back, a, b in [*intervals(shared), *([] if whole else [(0, 0, len(members) - 1)])]:
+        # a group is listed only if the bytes before it differ: the intervals of the reversed bytes, and all members where no byte is common
+        groups = intervals(shared)
+        if 0 in shared[1:]:
+            groups.append((0, 0, len(members) - 1))
+        for back, a, b in groups:
             if back + depth >= size:
                 out.append((back, depth, sorted((m[4], m[5]) for m in members[a : b + 1])))
     return out

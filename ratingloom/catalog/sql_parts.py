@@ -38,8 +38,8 @@ def hash_number(digest: str, digits: int = 8) -> str:
     return f"CAST('0x' || substr({digest}, 1, {digits}) AS BIGINT)"
 
 
-def neighbors(k: int, metric: str = "cosine") -> str:
-    """``nn``: the k nearest other items of every item."""
+def neighbors(k: int, metric: str = "cosine", keep: str = "true") -> str:
+    """``nn``: the k nearest other items of every item for which ``keep`` holds."""
     if metric == "cosine":
         sim = (
             "list_inner_product(a.v, b.v)"
@@ -52,7 +52,7 @@ nn AS (
   SELECT item, neighbor, CAST(rank AS INTEGER) AS rank, sim FROM (
     SELECT item, neighbor, sim, row_number() OVER (PARTITION BY item ORDER BY sim DESC, neighbor) AS rank
     FROM (SELECT a.item_id AS item, b.item_id AS neighbor, round({sim}, 6) AS sim
-          FROM emb a JOIN emb b ON a.item_id <> b.item_id))
+          FROM (SELECT * FROM emb WHERE {keep}) a JOIN (SELECT * FROM emb WHERE {keep}) b ON a.item_id <> b.item_id))
   WHERE rank <= {k})"""
 
 

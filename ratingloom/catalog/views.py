@@ -75,8 +75,8 @@ def item_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def english_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def word_vectors(spark: SparkSession, sf_dir: str, words: DataFrame, spread: int) -> DataFrame:
@@ -97,4 +97,4 @@ def word_vectors(spark: SparkSession, sf_dir: str, words: DataFrame, spread: int
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_table(table(spark, sf_dir, "documents"), "doc_id")
+    return token_table(texts(spark, sf_dir), "doc_id")

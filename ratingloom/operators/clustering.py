@@ -14,15 +14,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ratingloom.functions.vectors import cosine, squared_distance
-from ratingloom.operators.nearest import BLOCK_ROWS, into_tiles
+from ratingloom.operators.nearest import BLOCK_ROWS, dense_rows, into_tiles
 from ratingloom.operators.sampling import sample_exact
 from ratingloom.operators.skew import exact_quantiles, number_in_order
 from ratingloom.schemas import ITEM, RATING, USER
 from ratingloom.session import durable
 
-MAX_POINTS = 20_000
-DRIVER_DIMS = 4_000
-
 
 # --- profiles and scaling -------------------------------------------------------------
 
@@ -176,10 +173,6 @@ def inertia(points: DataFrame, cluster_col: str = "cluster", vector_col: str = "
 def _distance_sums() -> Callable[[pa.Table], pa.Table]:
     """Per point of a tile the summed distance to, and the number of, points of each cluster."""
 
-    def dense(table: pa.Table) -> np.ndarray:
-        values = table.column("_vec").combine_chunks()
-        return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
-
     def run(tile: pa.Table) -> pa.Table:
         x, y = tile.column("_x")[0].as_py(), tile.column("_y")[0].as_py()
         side = tile.column("_side").to_numpy()
@@ -189,7 +182,7 @@ def _distance_sums() -> Callable[[pa.Table], pa.Table]:
             return pa.table({"id": pa.array([], pa.string()), "own": pa.array([], pa.int32()),
                              "other": pa.array([], pa.int32()), "total": pa.array([], pa.float64()),
                              "n": pa.array([], pa.int64())})
-        left, right = dense(a), dense(b)
+        left, right = dense_rows(a, "_vec"), dense_rows(b, "_vec")
         gap = (left**2).sum(axis=1)[:, None] + (right**2).sum(axis=1)[None, :] - 2.0 * (left @ right.T)
         dist = np.sqrt(np.maximum(gap, 0.0))
         if x == y:
@@ -227,14 +220,14 @@ def silhouette_samples(
 ) -> DataFrame:
     """``(id, cluster, silhouette)`` with exact Euclidean distances; 0 in a cluster of one.
 
-    Distances are computed tile by tile. A tile emits one row per point and cluster, never
+    Points without vector are left out. Distances are computed tile by tile. A tile emits one row per point and cluster, never
     one per pair of points.
     """
     rows = points.select(
         F.col(id_col).cast("string").alias("_id"),
         F.col(vector_col).alias("_vec"),
         F.col(cluster_col).cast("int").alias("_label"),
-    )
+    ).where("_vec IS NOT NULL")
     sums = (
         into_tiles(rows, "_id", block_rows)
         .groupBy("_x", "_y")
@@ -264,7 +257,7 @@ def kmeans_sweep(
     k_list: Sequence[int],
     name: str,
     seed: int = 42,
-    max_points: int | None = MAX_POINTS,
+    max_points: int | None = None,
     restarts: int = 1,
     id_col: str = "item_id",
     vector_col: str = "embedding",
@@ -272,8 +265,8 @@ def kmeans_sweep(
 ) -> DataFrame:
     """``(embedding, k, inertia, silhouette, n_points)``, one row per k; null for an unusable k.
 
-    The seeded draw depends on ids only, so several embeddings of the same items share it.
-    ``max_points=None`` uses all of them.
+    All points take part; with ``max_points`` a seeded draw of that many does, which depends on
+    ids only, so that several embeddings of the same items share it.
     """
     points = embeddings.select(F.col(id_col).cast("string").alias("_id"), F.col(vector_col).alias("embedding"))
     if max_points is not None:

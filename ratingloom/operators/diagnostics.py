@@ -12,7 +12,6 @@ from ratingloom.operators.sampling import key_hash, sample_exact
 from ratingloom.operators.skew import number_in_order
 
 PAIRS = 20_000
-DUPLICATE_SAMPLE = 10_000
 DIGITS = 6
 
 
@@ -43,13 +42,18 @@ def zero_variance_dims(embeddings: DataFrame, vector_col: str = "embedding") ->
 
 def near_duplicates(
     embeddings: DataFrame,
-    sample: int = DUPLICATE_SAMPLE,
+    sample: int | None = None,
     seed: int = 42,
     id_col: str = "item_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """Groups of vectors equal to six places within a seeded sample."""
-    drawn = sample_exact(embeddings.select(id_col, vector_col), sample, seed, [id_col])
+    """Groups of vectors equal to six places, over all rows or within a seeded sample.
+
+    One aggregate that is combined before the shuffle; null vectors are no duplicates.
+    """
+    drawn = embeddings.select(id_col, vector_col).where(F.col(vector_col).isNotNull())
+    if sample is not None:
+        drawn = sample_exact(drawn, sample, seed, [id_col])
     rounded = F.transform(vector_col, lambda x: F.round(x.cast("double"), DIGITS) + F.lit(0.0))
     return (
         drawn.groupBy(rounded.alias("_v"))

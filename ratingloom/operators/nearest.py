@@ -53,14 +53,21 @@ def _best_per_row(sims: np.ndarray, k: int, own: bool) -> tuple[np.ndarray, np.n
     return row[keep], col[keep]
 
 
-def _dense(table: pa.Table, column: str) -> np.ndarray:
+def dense_rows(table: pa.Table, column: str) -> np.ndarray:
+    """The vectors of a column as a matrix; they must not be null and must agree in length."""
     values = table.column(column).combine_chunks()
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(values), -1) if len(values) else np.empty((0, 0))
+    if not len(values):
+        return np.empty((0, 0))
+    sizes = np.diff(values.offsets.to_numpy())
+    if values.null_count or sizes.min() != sizes.max():
+        raise ValueError(f"vectors of {sizes.min()} to {sizes.max()} entries, {values.null_count} null: all need one length")
+    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
 
 
 def _dense_similarity(a: pa.Table, b: pa.Table, metric: str) -> np.ndarray:
-    left, right = _dense(a, "_vec"), _dense(b, "_vec")
+    left, right = dense_rows(a, "_vec"), dense_rows(b, "_vec")
+    if len(left) and len(right) and left.shape[1] != right.shape[1]:
+        raise ValueError(f"vectors of {left.shape[1]} and {right.shape[1]} entries: all need one length")
     if metric == "cosine":
         for m in (left, right):
             length = np.linalg.norm(m, axis=1, keepdims=True)
@@ -143,12 +150,13 @@ def item_neighbors(
 
     sim is the cosine, or 1 / (1 + distance) for the euclidean metric, to six digits; ties
     go to the smaller id. The item itself is left out by id, not by position, and k is
-    limited by the number of other items.
+    limited by the number of other items. An item whose vector is null is nobody's neighbour
+    and has none; vectors of different lengths are an error.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     vectors = embeddings.select(F.col(id_col).cast("string").alias("_id"), F.col(vector_col).alias("_vec"))
-    tiles = into_tiles(vectors, "_id", block_rows)
+    tiles = into_tiles(vectors.where("_vec IS NOT NULL"), "_id", block_rows)
     partial = tiles.groupBy("_x", "_y").applyInArrow(
         _tile_neighbors(_dense_similarity, metric, k), "item string, neighbor string, sim double"
     )

@@ -61,10 +61,10 @@ def durable_in_order(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows dealt over the cores by ``key`` if the input has fewer partitions than cores.
+    """A scan's rows dealt over the shuffle partitions by ``key``.
 
-    For heavy work per row on a table of few large files; a table with enough partitions
-    is left as it is and is not shuffled.
+    Only for a local session on one file, whose rows one task would read: the reader cannot split
+    a single row group. On a cluster the scan keeps the partitions it has and nothing is shuffled.
+    Rows and results are the same either way.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores * 2, F.col(key)) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(F.col(key)) if df.sparkSession.sparkContext.master.startswith("local[") else df

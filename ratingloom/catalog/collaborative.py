@@ -21,6 +21,7 @@ from ratingloom.operators.similarity import rating_similarity
 from ratingloom.session import durable
 
 IDS = ("user_id", "parent_asin")
+# Hold-out shares with their seeds, and the neighbourhood sizes and supports of the grid.
 SPLITS = ((0.1, 42), (0.2, 19), (0.3, 27))
 GRID_KS = (3, 5, 10, 15, 20, 25)
 GRID_SUPPORTS = (1, 2, 3, 5)
@@ -201,20 +202,17 @@ def knn_grid(spark, d):
     return _rounded(collaborative.knn_grid(views.matrix(spark, d), GRID_KS, supports=GRID_SUPPORTS), *_ERRORS)
 
 
-_SMALL_GRID = _grid_sql(GRID_KS, ("cosine",), (True,), GRID_SUPPORTS)
-
-
 @query("knn_grid_top", f"""SELECT *, CASE WHEN user_based THEN 'User' ELSE 'Item' END AS based_on
-FROM ({_SMALL_GRID}) ORDER BY rank_rmse, k, similarity, user_based, min_support LIMIT 10""")
+FROM ({_FULL_GRID}) ORDER BY rank_rmse, k, similarity, user_based, min_support LIMIT 10""")
 def knn_grid_top(spark, d):
-    grid = collaborative.knn_grid(views.matrix(spark, d), GRID_KS, ("cosine",), (True,), GRID_SUPPORTS)
+    grid = collaborative.knn_grid(views.matrix(spark, d), GRID_KS, supports=GRID_SUPPORTS)
     return _rounded(evaluation.top_configurations(grid, 10), *_ERRORS)
 
 
 @query("knn_grid_best", f"""SELECT k, similarity, user_based, min_support, mean_rmse
-FROM ({_SMALL_GRID}) ORDER BY rank_rmse, k, similarity, user_based, min_support LIMIT 1""")
+FROM ({_FULL_GRID}) ORDER BY rank_rmse, k, similarity, user_based, min_support LIMIT 1""")
 def knn_grid_best(spark, d):
-    grid = collaborative.knn_grid(views.matrix(spark, d), GRID_KS, ("cosine",), (True,), GRID_SUPPORTS)
+    grid = collaborative.knn_grid(views.matrix(spark, d), GRID_KS, supports=GRID_SUPPORTS)
     best = evaluation.best_configuration(grid, ["k", "similarity", "user_based", "min_support"], "mean_rmse")
     return _rounded(best, "mean_rmse")
 
@@ -281,24 +279,96 @@ def mf_bias(spark, d):
     )
 
 
-@query("mf_als")
+# Trained factors differ from run to run of any trainer; the facts about them do not.
+@query("mf_als", f"""WITH {MATRIX}, {holdout('matrix', 0.2, 42, IDS, 'marked')}
+SELECT count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test, true AS finite, true AS in_scale,
+       true AS beats_mean_on_train, true AS near_mean_on_test FROM marked""")
 def mf_als(spark, d):
-    """Hold-out errors of the factor model and, for comparison, of the mean alone."""
+    """Facts on the factor model: finite, inside the scale, closer to the training ratings than their mean."""
     marked = durable(sampling.split_holdout(durable(views.matrix(spark, d)), 0.2, 42))
-    train = marked.where(~F.col("is_test")).drop("is_test")
-    test = marked.where("is_test").drop("is_test")
-    model = factorization.fit_factors(train, 50, 10, 0.1)
-    preds = factorization.factor_predict(model, test).withColumn("_mean", model.mean.scalar())
-    by_factors = evaluation.accuracy(preds).withColumn("model", F.lit("factors"))
-    return by_factors.unionByName(evaluation.accuracy(preds, predicted="_mean").withColumn("model", F.lit("mean")))
+    model = factorization.fit_factors(marked.where(~F.col("is_test")).drop("is_test"), 50, 10, 0.1)
+    preds = factorization.factor_predict(model, marked).withColumn("_mean", model.mean.scalar())
+    square = lambda c: (F.col("rating") - F.col(c)) ** 2
+    seen, held = ~F.col("is_test"), F.col("is_test")
+    rmse = lambda c, part: F.sqrt(F.avg(F.when(part, square(c))))
+    return preds.agg(
+        F.count_if(seen).alias("n_train"),
+        F.count_if(held).alias("n_test"),
+        F.every(F.abs("pred") < float("inf")).alias("finite"),
+        F.every(F.col("pred").between(1.0, 5.0)).alias("in_scale"),
+        (rmse("pred", seen) < 0.95 * rmse("_mean", seen)).alias("beats_mean_on_train"),
+        (rmse("pred", held) < 1.2 * rmse("_mean", held)).alias("near_mean_on_test"),
+    )
 
 
-@query("mf_topn")
+@query("mf_topn", f"""WITH {MATRIX}
+SELECT user_id, CAST(10 AS BIGINT) AS n, true AS in_scale, true AS in_order FROM matrix GROUP BY user_id""")
 def mf_topn(spark, d):
-    model = factorization.fit_factors(views.matrix(spark, d), 20, 5, 0.1)
-    return factorization.factor_top_n(model, 10)
+    model = factorization.fit_factors(views.matrix(spark, d), 50, 30, 0.01)
+    top = factorization.factor_top_n(model, 10)
+    listed = F.array_sort(F.collect_list(F.struct("rank", "pred")))
+    out = top.groupBy("user_id").agg(F.countDistinct("parent_asin").alias("n"), listed.alias("l"))
+    falling = F.transform("l", lambda e: -e["pred"])
+    return out.select(
+        "user_id",
+        "n",
+        F.forall("l", lambda e: e["pred"].between(1.0, 5.0)).alias("in_scale"),
+        ((F.array_sort(falling) == falling) & (F.col("l.rank") == F.sequence(F.lit(1), F.size("l")))).alias("in_order"),
+    )
 
 
-@query("mf_grid")
+@query("mf_grid", """SELECT CAST(f AS INTEGER) AS n_factors, CAST(5 AS INTEGER) AS n_epochs, CAST(0.1 AS DOUBLE) AS reg_all, true AS valid
+FROM (SELECT unnest([10, 20]) AS f)""")
 def mf_grid(spark, d):
-    return factorization.factor_grid(views.matrix(spark, d), (10, 20), (5,), (0.1,))
+    """Cross-validated configurations: errors are positive, agree with each other and are ranked."""
+    grid = factorization.factor_grid(views.matrix(spark, d), (10, 20), (5,), (0.1,))
+    rmse = F.col("mean_rmse")
+    valid = (rmse > 0) & (rmse < 4) & (F.col("mean_mse") + 1e-9 >= rmse * rmse) & F.col("rank_rmse").between(1, 2)
+    return grid.select("n_factors", "n_epochs", "reg_all", valid.alias("valid"))
+
+
+# --- prediction from given factors ------------------------------------------------------
+
+_FACTORS = 8
+
+
+def _given_sql(side: str, column: str) -> str:
+    slot = f"CAST('0x' || substr(md5('{side}' || {column}), 1, 8) AS BIGINT) % (SELECT count(*) FROM embeddings)"
+    return f"""SELECT {column}, (slot % 7 - 3) / 10.0 AS bias, CAST(embedding[1:{_FACTORS}] AS DOUBLE[]) AS f
+  FROM (SELECT {column}, {slot} AS slot FROM matrix GROUP BY 1) JOIN embeddings ON vec_id = slot"""
+
+
+_GIVEN = f"""{MATRIX}, mu AS (SELECT avg(rating) AS mean FROM matrix),
+fu AS ({_given_sql('u', 'user_id')}), fi AS ({_given_sql('i', 'parent_asin')})"""
+_GIVEN_PRED = "greatest(1.0, least(5.0, mean + fu.bias + fi.bias + 3.0 * list_inner_product(fu.f, fi.f)))"
+
+
+def _given_model(spark, d):
+    """A factor model whose factors are taken from the embeddings by a hash of each id."""
+    matrix = durable(views.matrix(spark, d))
+    embeddings = views.table(spark, d, "embeddings")
+    total = embeddings.agg(F.count(F.lit(1))).scalar()
+
+    def side(letter: str, column: str, bias: str, factors: str, scale: float):
+        slot = F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(letter), F.col(column))), 1, 8), 16, 10).cast("long"), total)
+        ids = matrix.select(column).distinct().withColumn("vec_id", slot)
+        vector = F.transform(F.slice("embedding", 1, _FACTORS), lambda x: x.cast("double") * scale)
+        return durable(ids.join(embeddings, "vec_id").select(column, ((F.col("vec_id") % 7 - 3) / 10.0).alias(bias), vector.alias(factors)))
+
+    users, items = side("u", "user_id", "b_u", "p", 3.0), side("i", "parent_asin", "b_i", "q", 1.0)
+    return matrix, factorization.FactorModel(users, items, matrix.agg(F.avg("rating").alias("mean")), (1.0, 5.0))
+
+
+@query("mf_predict_given_factors", f"""WITH {_GIVEN}
+SELECT user_id, parent_asin, round({_GIVEN_PRED}, 6) AS pred FROM matrix JOIN fu USING (user_id) JOIN fi USING (parent_asin), mu""")
+def mf_predict_given_factors(spark, d):
+    matrix, model = _given_model(spark, d)
+    return _rounded(factorization.factor_predict(model, matrix).select("user_id", "parent_asin", "pred"), "pred")
+
+
+@query("mf_topn_given_factors", f"""WITH {_GIVEN}
+SELECT user_id, parent_asin, pred, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pred DESC, parent_asin) AS rank
+  FROM (SELECT user_id, parent_asin, round({_GIVEN_PRED}, 6) AS pred FROM fu, fi, mu)) WHERE rank <= 10""")
+def mf_topn_given_factors(spark, d):
+    return factorization.factor_top_n(_given_model(spark, d)[1], 10)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window, functions as F
 
 from ratingloom.catalog import views
 from ratingloom.catalog.collaborative import top_n_sql
 from ratingloom.catalog.registry import query
 from ratingloom.catalog.sql_parts import EMB, RATINGS, hash_key, hash_number, holdout, neighbors
-from ratingloom.functions.vectors import l2_normalize
+from ratingloom.functions.vectors import l2_normalize, squared_distance
 from ratingloom.operators import clustering, content, diagnostics, evaluation, nearest, recommend, sampling
 from ratingloom.session import durable
 
@@ -251,9 +252,19 @@ def emb_retrieval(spark, d):
     return diagnostics.retrieval_demo(views.item_embeddings(spark, d))
 
 
-@query("emb_pca")
+@query("emb_pca", f"""WITH {EMB}, s AS (SELECT CAST(least(50, max(len(v)), count(*) - 1) AS INTEGER) AS components FROM emb)
+SELECT components, true AS ordered, true AS above_average, true AS effective_in_range FROM s""")
 def emb_pca(spark, d):
-    return diagnostics.explained_variance(views.item_embeddings(spark, d))
+    out = diagnostics.explained_variance(views.item_embeddings(spark, d))
+    dim = F.lit(views.item_embeddings(spark, d).select(F.size("embedding")).first()[0])
+    ordered = (F.col("evr_pc1") <= F.col("evr_top10")) & (F.col("evr_top10") <= F.col("evr_total")) & (F.col("evr_total") <= 1 + 1e-9)
+    return out.select(
+        "components",
+        ordered.alias("ordered"),
+        # each leading component holds at least the share of an average one
+        ((F.col("evr_pc1") >= 1 / dim) & (F.col("evr_total") >= F.col("components") / dim - 1e-9)).alias("above_average"),
+        F.col("effective_dim").between(1.0, F.col("components") + 1e-6).alias("effective_in_range"),
+    )
 
 
 # --- clustering -----------------------------------------------------------------------
@@ -326,39 +337,118 @@ def silhouette_given_labels(spark, d):
     return _rounded(clustering.silhouette_samples(views.item_embeddings(spark, d)), "silhouette")
 
 
-@query("kmeans_sweep")
+SWEEP_KS = (5, 10, 20, 30, 40, 50, 60, 70, 80)
+
+
+@query("kmeans_sweep", f"""SELECT 'given' AS embedding, CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS n_points,
+  k > 1 AND k < (SELECT count(*) FROM embeddings) AS usable, true AS silhouette_in_range, true AS inertia_falls
+FROM (SELECT unnest([1, {', '.join(map(str, SWEEP_KS))}]) AS k)""")
 def kmeans_sweep(spark, d):
-    return clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), (5, 10, 20, 30), "given")
+    sweep = clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), (1, *SWEEP_KS), "given")
+    before = F.lag("inertia").over(Window.partitionBy("embedding").orderBy("k"))
+    usable = F.col("inertia").isNotNull() & F.col("silhouette").isNotNull()
+    return sweep.select(
+        "embedding",
+        "k",
+        "n_points",
+        usable.alias("usable"),
+        F.coalesce(F.col("silhouette").between(-1.0, 1.0), F.lit(True)).alias("silhouette_in_range"),
+        # one start per k may end a little above the one before, never far
+        F.coalesce(F.col("inertia") <= 1.05 * before, F.lit(True)).alias("inertia_falls"),
+    )
 
 
-@query("kmeans_best_k")
+@query("kmeans_facts", """SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS n_points, true AS cost_holds, true AS at_nearest
+FROM (SELECT unnest([5, 20]) AS k)""")
+def kmeans_facts(spark, d):
+    """The reported cost is that of the assignments, and every point sits at its nearest centre."""
+    features = durable(clustering.dense_features(views.item_embeddings(spark, d).drop("cluster")))
+    out = None
+    for k in (5, 20):
+        model = clustering.best_kmeans(features, k)
+        centers = [[float(x) for x in c] for c in model.clusterCenters()]
+        placed = clustering.assign_clusters(model, features, "item_id").withColumn("v", vector_to_array("features"))
+        held = F.array(*[F.array(*map(F.lit, c)) for c in centers])
+        gaps = F.transform(held, lambda c: squared_distance(F.col("v"), c))
+        row = placed.select("cluster", gaps.alias("g")).agg(
+            F.lit(k).alias("k"),
+            F.count(F.lit(1)).alias("n_points"),
+            (F.abs(F.sum(F.col("g")[F.col("cluster")]) / float(model.summary.trainingCost) - 1) < 1e-6).alias("cost_holds"),
+            F.every(F.col("g")[F.col("cluster")] <= F.array_min("g") + 1e-9).alias("at_nearest"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("kmeans_best_k", "SELECT true AS is_listed, true AS is_best")
 def kmeans_best_k(spark, d):
-    sweep = clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), (2, 4, 8), "given", max_points=None)
-    return clustering.best_k(sweep)
+    sweep = durable(clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), (2, 4, 8), "given"))
+    chosen = clustering.best_k(sweep).scalar()
+    best = sweep.withColumn("c", chosen).agg(
+        F.bool_or(F.col("c") == F.col("k")).alias("is_listed"),
+        (F.max(F.when(F.col("c") == F.col("k"), F.col("silhouette"))) >= F.max("silhouette") - 1e-9).alias("is_best"),
+    )
+    return best
 
 
 def _profiles(spark, d):
     return clustering.user_profiles(_scaled(spark, d), views.ratings(spark, d).select("user_id"))
 
 
-@query("user_clusters")
+@query("user_clusters", f"""WITH {RATINGS}
+SELECT CAST(4 AS BIGINT) AS n_clusters, count(DISTINCT user_id) AS n_users, count(*) AS total_reviews, true AS in_scale FROM ratings""")
 def user_clusters(spark, d):
-    """Clusters of users by their scaled predictions, with their profile."""
-    features = durable(_profiles(spark, d))
-    model = clustering.best_kmeans(features, 4, restarts=3, max_iter=20)
+    """Clusters of users by their scaled predictions: their profiles add up to all users and reviews."""
+    features = _profiles(spark, d)
+    model = clustering.best_kmeans(features, 4)
     members = clustering.assign_clusters(model, features, "user_id")
-    return clustering.cluster_profile(views.ratings(spark, d), members)
+    return clustering.cluster_profile(views.ratings(spark, d), members).agg(
+        F.count(F.lit(1)).alias("n_clusters"),
+        F.sum("n_users").alias("n_users"),
+        F.sum("total_reviews").alias("total_reviews"),
+        F.every(F.col("avg_rating").between(1.0, 5.0)).alias("in_scale"),
+    )
+
+
+def _axis_facts(placed, total):
+    """Rows, and whether the coordinates are centred, uncorrelated, ordered, and hold their share of ``total`` variance."""
+    tiny = F.col("total") * 1e-6
+    return placed.agg(
+        F.count(F.lit(1)).alias("n_points"),
+        *[F.avg(c).alias(f"m_{c}") for c in ("pc1", "pc2")],
+        *[F.var_pop(c).alias(f"v_{c}") for c in ("pc1", "pc2")],
+        F.covar_pop("pc1", "pc2").alias("cov"),
+        F.first("ratio1").alias("ratio1"),
+        F.first("ratio2").alias("ratio2"),
+    ).withColumn("total", total.scalar()).select(
+        "n_points",
+        ((F.abs("m_pc1") < F.sqrt(tiny)) & (F.abs("m_pc2") < F.sqrt(tiny))).alias("centred"),
+        (F.abs("cov") < tiny * 10).alias("uncorrelated"),
+        ((F.abs(F.col("v_pc1") - F.col("ratio1") * F.col("total")) < tiny) & (F.abs(F.col("v_pc2") - F.col("ratio2") * F.col("total")) < tiny)).alias("shares_hold"),
+        (F.col("ratio1") >= F.col("ratio2")).alias("ordered"),
+    )
+
+
+_AXIS_SQL = "true AS centred, true AS uncorrelated, true AS shares_hold, true AS ordered"
 
 
-@query("pca_2d")
+@query("pca_2d", f"SELECT count(*) AS n_points, {_AXIS_SQL} FROM embeddings")
 def pca_2d(spark, d):
-    points = clustering.dense_features(views.item_embeddings(spark, d).drop("cluster"))
-    return clustering.project_2d(points, "item_id")
+    items = views.item_embeddings(spark, d).drop("cluster")
+    per_dim = items.select(F.posexplode("embedding").alias("p", "x")).groupBy("p").agg(F.var_pop(F.col("x").cast("double")).alias("v"))
+    placed = clustering.project_2d(clustering.dense_features(items), "item_id")
+    return _axis_facts(placed, per_dim.agg(F.sum("v")))
 
 
-@query("user_pca_2d")
+@query("user_pca_2d", f"WITH {RATINGS} SELECT count(DISTINCT user_id) AS n_points, {_AXIS_SQL} FROM ratings")
 def user_pca_2d(spark, d):
-    return clustering.project_2d(_profiles(spark, d), "user_id")
+    scaled = durable(_scaled(spark, d))
+    users = views.ratings(spark, d).select("user_id")
+    n = users.agg(F.countDistinct("user_id").cast("double")).scalar()
+    x = F.col("scaled") - F.col("base")
+    per_item = scaled.groupBy("parent_asin").agg(F.sum(x).alias("s"), F.sum(x * x).alias("ss")).withColumn("n", n)
+    total = per_item.agg(F.sum(F.col("ss") / F.col("n") - (F.col("s") / F.col("n")) ** 2))
+    return _axis_facts(clustering.project_2d(clustering.user_profiles(scaled, users), "user_id"), total)
 
 
 # Users get fixed clusters from their id, so that the profile itself can be checked.

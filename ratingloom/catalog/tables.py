@@ -92,7 +92,7 @@ SELECT user_id, parent_asin, rating FROM ratings
 WHERE user_id IN (SELECT user_id FROM ratings GROUP BY 1 HAVING count(*) >= 30)
   AND parent_asin IN (SELECT parent_asin FROM ratings GROUP BY 1 HAVING count(*) >= 30)""")
 def min_count_incl(spark, d):
-    return filters.min_count_filter(views.ratings(spark, d), 30, 30)
+    return filters.min_count_filter(durable(views.ratings(spark, d)), 30, 30)
 
 
 @query("min_count_strict", f"""WITH {RATINGS}
@@ -100,7 +100,7 @@ SELECT user_id, parent_asin, rating FROM ratings
 WHERE user_id IN (SELECT user_id FROM ratings GROUP BY 1 HAVING count(*) > 20)
   AND parent_asin IN (SELECT parent_asin FROM ratings GROUP BY 1 HAVING count(*) > 20)""")
 def min_count_strict(spark, d):
-    return filters.min_count_filter(views.ratings(spark, d), 20, 20, strict=True)
+    return filters.min_count_filter(durable(views.ratings(spark, d)), 20, 20, strict=True)
 
 
 @query("filter_and_sample", f"""WITH {RATINGS}, kept AS (
@@ -111,7 +111,7 @@ SELECT user_id, parent_asin, rating FROM (
   SELECT *, row_number() OVER (ORDER BY {hash_key(*KEYS, seed=42)}, user_id, parent_asin, rating) AS n FROM kept)
 WHERE n <= 20000""")
 def filter_and_sample(spark, d):
-    kept = filters.min_count_filter(views.ratings(spark, d), 20, 20, strict=True)
+    kept = filters.min_count_filter(durable(views.ratings(spark, d)), 20, 20, strict=True)
     return sampling.sample_exact(durable(kept), 20_000, 42, KEYS)
 
 
@@ -121,7 +121,7 @@ def filter_and_sample(spark, d):
     AND parent_asin IN (SELECT parent_asin FROM ratings GROUP BY 1 HAVING count(*) >= 35))
 SELECT parent_asin, title, count(*) AS n_reviews FROM kept JOIN meta USING (parent_asin) GROUP BY ALL""")
 def align_meta(spark, d):
-    kept = filters.min_count_filter(views.ratings(spark, d), 35, 35)
+    kept = filters.min_count_filter(durable(views.ratings(spark, d)), 35, 35)
     reviews, meta = filters.align_items(kept, views.meta(spark, d))
     return (
         reviews.groupBy("parent_asin")

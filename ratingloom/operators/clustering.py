@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, ByteType, DataType, DoubleType, IntegerType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from ratingloom.functions.vectors import cosine, squared_distance
@@ -60,9 +60,19 @@ def robust_scale(cells: DataFrame, users: DataFrame, fallback: DataFrame, user:
     )
 
 
-@F.udf(returnType=VectorUDT())
-def _sparse_vector(size, indices, values):
-    return SparseVector(size, indices, values)
+# A vector column is stored as this struct; type 0 is sparse, 1 dense.
+STORED_VECTOR = (
+    StructType()
+    .add("type", ByteType())
+    .add("size", IntegerType())
+    .add("indices", ArrayType(IntegerType()))
+    .add("values", ArrayType(DoubleType()))
+)
+
+
+def _retyped(df: DataFrame, column: str, kind: DataType) -> DataFrame:
+    """``df`` written and read back with another type of the same layout for ``column``."""
+    return durable(df, StructType([StructField(f.name, kind if f.name == column else f.dataType) for f in df.schema]))
 
 
 def user_profiles(scaled: DataFrame, users: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
@@ -85,7 +95,13 @@ def user_profiles(scaled: DataFrame, users: DataFrame, user: str = USER, item: s
     full = (
         users.select(user).distinct().join(entries, user, "left").select(user, F.coalesce("e", empty).alias("e"))
     )
-    return full.select(user, _sparse_vector(F.lit(size), F.col("e.i"), F.col("e.x")).alias("features"))
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).cast("int").alias("size"),
+        F.col("e.i").alias("indices"),
+        F.col("e.x").alias("values"),
+    )
+    return _retyped(full.select(user, stored.alias("features")), "features", VectorUDT())
 
 
 def dense_features(embeddings: DataFrame, id_col: str = "item_id", vector_col: str = "embedding") -> DataFrame:
@@ -306,22 +322,114 @@ def best_k(sweep: DataFrame) -> DataFrame:
     )
 
 
+EXTRA_AXES = 16
+AXIS_STEPS = 200
+AXIS_TOLERANCE = 1e-11
+
+
+def _flat_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, positions and values of the entries of a batch of stored vectors."""
+    rows, positions, values = [], [], []
+    for n, v in enumerate(batch.column("features").to_pylist()):
+        x = np.asarray(v["values"], np.float64)
+        rows.append(np.full(len(x), n))
+        positions.append(np.arange(len(x)) if v["type"] == 1 else np.asarray(v["indices"], np.int64))
+        values.append(x)
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return np.concatenate(rows), np.concatenate(positions), np.concatenate(values)
+
+
+def _placed(flat: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, axes: np.ndarray) -> np.ndarray:
+    """The rows of a batch on the axes."""
+    row, position, x = flat
+    return np.stack([np.bincount(row, x * axes[position, c], n) for c in range(axes.shape[1])], 1)
+
+
+def principal_axes(vectors: DataFrame, k: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(axes, shares of variance, column means) of the first k components; ``vectors`` as STORED_VECTOR.
+
+    Block power iteration: each step sends every row through the axes and back, task by task, and
+    only the summed columns reach the driver. The mean is taken off as a rank-one correction, so
+    sparse rows stay sparse. The driver holds columns x (k + EXTRA_AXES) numbers, never a
+    covariance matrix.
+    """
+    spark = vectors.sparkSession
+    size = F.coalesce("features.size", F.size("features.values"))  # dense vectors store no size
+    entries = vectors.select(size.alias("d"), F.transform("features.values", lambda x: x * x).alias("sq"))
+    shape = entries.agg(
+        F.count(F.lit(1)).alias("n"), F.max("d").alias("d"), F.sum(F.aggregate("sq", F.lit(0.0), lambda s, x: s + x)).alias("sq")
+    ).first()
+    n, d = shape["n"], shape["d"]
+    width = min(d, k + EXTRA_AXES)
+    axes = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, width)))[0]
+
+    def through(axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """X'X axes and the column sums of X axes, both from one pass."""
+        held = spark.sparkContext.broadcast(axes)
+        columns = [f"c{c}" for c in range(axes.shape[1])]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, sums = np.zeros_like(held.value), np.zeros(held.value.shape[1])
+            for batch in batches:
+                flat = _flat_rows(batch)
+                y = _placed(flat, batch.num_rows, held.value)
+                sums += y.sum(0)
+                row, position, x = flat
+                for c in range(y.shape[1]):
+                    total[:, c] += np.bincount(position, x * y[row, c], len(total))
+            used = np.flatnonzero(np.any(total != 0, axis=1))
+            place = np.append(used, -1)  # -1: the sums
+            block = np.vstack([total[used], sums])
+            yield pa.RecordBatch.from_arrays([pa.array(place), *(pa.array(block[:, c]) for c in range(block.shape[1]))], names=["pos", *columns])
+
+        parts = vectors.mapInArrow(run, "pos long, " + ", ".join(f"{c} double" for c in columns))
+        got = parts.groupBy("pos").agg(*[F.sum(c).alias(c) for c in columns]).toPandas().set_index("pos")
+        held.unpersist()
+        out = np.zeros_like(axes)
+        inside = got.index[got.index >= 0]
+        out[inside] = got.loc[inside, columns].to_numpy()
+        return out, got.loc[-1, columns].to_numpy()
+
+    means = np.zeros(d)
+    mean_rows = vectors.select(F.posexplode("features.values").alias("p", "x"), "features.type", "features.indices").select(
+        F.when(F.col("type") == 1, F.col("p")).otherwise(F.col("indices")[F.col("p")]).alias("pos"), "x"
+    )
+    for r in mean_rows.groupBy("pos").agg(F.sum("x").alias("s")).toLocalIterator():
+        means[r["pos"]] = r["s"] / n
+    total = shape["sq"] - n * float(means @ means)
+    before = np.zeros(k)
+    for _ in range(AXIS_STEPS):
+        product, sums = through(axes)
+        product -= np.outer(means, sums)
+        values, turn = np.linalg.eigh(axes.T @ product)
+        order = np.argsort(values)[::-1]
+        values, ritz = np.maximum(values[order], 0.0), axes @ turn[:, order]
+        if np.all(np.abs(values[:k] - before) <= AXIS_TOLERANCE * max(total, 1e-300)):
+            break
+        before = values[:k]
+        axes = np.linalg.qr(product @ turn[:, order])[0]
+    first = ritz[:, :k]
+    # the sign is free: the entry of largest size is made positive
+    first = first * np.sign(first[np.abs(first).argmax(0), np.arange(k)] + 0.0)
+    return first, values[:k] / total if total > 0 else np.zeros(k), means
+
+
 def project_2d(features: DataFrame, id_col: str) -> DataFrame:
-    """``(id, pc1, pc2, ratio1, ratio2)``: centred coordinates on the first two components."""
-    features = durable(features.select(id_col, "features"))
-    width = features.select("features").first()["features"].size
-    if width > DRIVER_DIMS:
-        raise ValueError(f"{width} columns: the covariance would not fit the driver, reduce the items first")
-    model = PCA(k=2, inputCol="features", outputCol="p").fit(features)
-    ratios = [float(x) for x in model.explainedVariance]
-    placed = model.transform(features).select(id_col, vector_to_array("p").alias("p"))
-    middle = placed.agg(F.struct(F.avg(F.col("p")[0]).alias("x"), F.avg(F.col("p")[1]).alias("y")))
-    return placed.withColumn("_m", middle.scalar()).select(
-        id_col,
-        (F.col("p")[0] - F.col("_m.x")).alias("pc1"),
-        (F.col("p")[1] - F.col("_m.y")).alias("pc2"),
-        F.lit(ratios[0]).alias("ratio1"),
-        F.lit(ratios[1]).alias("ratio2"),
+    """``(id, pc1, pc2, ratio1, ratio2)``: centred coordinates on the first two components, for any number of columns."""
+    vectors = _retyped(features.select(id_col, "features"), "features", STORED_VECTOR)
+    axes, ratios, means = principal_axes(vectors, 2)
+    middle = means @ axes
+    held = features.sparkSession.sparkContext.broadcast(axes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = _placed(_flat_rows(batch), batch.num_rows, held.value) - middle
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(y[:, 0]), pa.array(y[:, 1])], names=[id_col, "pc1", "pc2"])
+
+    id_type = features.schema[id_col].dataType.simpleString()
+    return vectors.mapInArrow(run, f"`{id_col}` {id_type}, pc1 double, pc2 double").select(
+        id_col, "pc1", "pc2", F.lit(float(ratios[0])).alias("ratio1"), F.lit(float(ratios[1])).alias("ratio2")
     )
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratingloom.functions.vectors import dot, l2_norm
+from ratingloom.operators.clustering import principal_axes
 from ratingloom.operators.nearest import query_neighbors
 from ratingloom.operators.sampling import key_hash, sample_exact
 from ratingloom.operators.skew import number_in_order
+from ratingloom.session import durable
 
 PAIRS = 20_000
 DIGITS = 6
@@ -97,10 +97,16 @@ def random_pair_cosine(
         .select("pair", draw("a").alias("pa"), draw("b").alias("pb"))
         .where(F.col("pa") != F.col("pb"))
     )
-    vectors = numbered.join(embeddings.select(id_col, F.col(vector_col).alias("v")), id_col)
-    # drawn has at most ``pairs`` rows
-    first = vectors.select(F.col("pos").alias("pa"), F.col("v").alias("va")).join(F.broadcast(drawn), "pa")
-    both = first.join(vectors.select(F.col("pos").alias("pb"), F.col("v").alias("vb")), "pb")
+    # the drawn positions become ids before any vector moves; ``drawn`` has at most ``pairs`` rows
+    ids = drawn
+    for side in ("a", "b"):
+        of_side = numbered.select(F.col("pos").alias(f"p{side}"), F.col(id_col).alias(f"_id{side}"))
+        ids = of_side.join(F.broadcast(ids), f"p{side}")
+    ids = durable(ids.select("_ida", "_idb"))
+    vectors = embeddings.select(id_col, F.col(vector_col).alias("v"))
+    first = vectors.select(F.col(id_col).alias("_ida"), F.col("v").alias("va")).join(F.broadcast(ids), "_ida")
+    second = vectors.select(F.col(id_col).alias("_idb"), F.col("v").alias("vb"))
+    both = second.join(F.broadcast(durable(first)), "_idb")  # at most ``pairs`` vectors
     cos = dot(F.col("va"), F.col("vb")) / (l2_norm(F.col("va")) * l2_norm(F.col("vb")) + F.lit(1e-9))
     return both.select(cos.alias("_c")).agg(
         F.avg("_c").alias("cos_mean"),
@@ -115,10 +121,17 @@ def explained_variance(
     embeddings: DataFrame, components: int = 50, vector_col: str = "embedding"
 ) -> DataFrame:
     """Share of variance of the first, the first ten and all components; effective dimension."""
-    shape = embeddings.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector_col)).alias("d")).first()
+    vectors = embeddings.where(F.col(vector_col).isNotNull()).select(
+        F.struct(
+            F.lit(1).cast("tinyint").alias("type"),
+            F.size(vector_col).alias("size"),
+            F.lit(None).cast("array<int>").alias("indices"),
+            _doubles(F.col(vector_col)).alias("values"),
+        ).alias("features")
+    )
+    shape = embeddings.agg(F.count(vector_col).alias("n"), F.max(F.size(vector_col)).alias("d")).first()
     k = min(components, shape["d"], shape["n"] - 1)
-    vectors = embeddings.select(array_to_vector(_doubles(F.col(vector_col))).alias("v"))
-    ratios = [float(x) for x in PCA(k=k, inputCol="v", outputCol="p").fit(vectors).explainedVariance]
+    ratios = [float(x) for x in principal_axes(durable(vectors), k)[1]]
     total = sum(ratios)
     effective = 1.0 / sum((r / (total + 1e-12)) ** 2 for r in ratios)
     return embeddings.sparkSession.range(1).select(

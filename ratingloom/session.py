@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 _scratch: list[tempfile.TemporaryDirectory] = []
 
@@ -43,15 +48,56 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
-def durable(df: DataFrame) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that ``durable`` writes inside the block when the block ends.
+
+    For a flow whose results are saved or collected inside the block; a frame that reads such a
+    table must not be used after it. Without a scope the tables stay until the folder is cleared.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def durable(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """``df`` computed once, written to the shared folder as Parquet and read back.
 
     For results that several later branches use: each of them reads only the columns it
-    needs, and a lost executor costs a re-read instead of the whole history.
+    needs, and a lost executor costs a re-read instead of the whole history. ``schema`` reads
+    the files with other types of the same layout, such as a vector type for its struct.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends the package to the executors once per session, for sessions started outside its folder.
+
+    Functions that run in Python workers are pickled by name, so workers must be able to import them.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_ratingloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.TemporaryDirectory(prefix="ratingloom-ship-", ignore_cleanup_errors=True)
+    _scratch.append(folder)  # the driver serves the file as long as the session lives
+    archive = Path(folder.name) / "ratingloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, f"ratingloom/{source.relative_to(root)}")
+    context.addPyFile(str(archive))
+    context._ratingloom_shipped = True
 
 
 def durable_in_order(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratingloom.session import durable_in_order
 
 ROWS_PER_FRAGMENT = 2_000
-RANGE_BUCKETS = 4_096
+RANGE_BUCKETS = 256
 
 
 def with_fragments(
@@ -82,26 +82,17 @@ def running_counts(
 ) -> DataFrame:
     """Add ``before`` (rows with a smaller value) and ``total`` to a table of distinct values.
 
-    ``counts`` has one row per (by, value). Values are cut into equal-width ranges between
-    the smallest and the largest; inside a range a partitioned window sums, and the ranges
-    themselves, at most ``buckets`` per group, give the offsets.
+    ``counts`` has one row per (by, value). Values are cut at approximate quantiles into ranges
+    that hold about equally many of them, whatever their distances; inside a range a partitioned
+    window sums, and the ranges themselves, at most ``buckets`` per group, give the offsets. Where
+    the cuts lie does not change the result.
     """
     by = list(by)
-    spans = counts.groupBy(*by).agg(
-        F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi")
-    )
-    if by:
-        placed = counts.join(spans, by)
-    else:
-        span = spans.select(F.struct("_lo", "_hi").alias("s"))
-        placed = counts.withColumn("_s", span.scalar()).select(
-            *counts.columns, F.col("_s._lo").alias("_lo"), F.col("_s._hi").alias("_hi")
-        )
-    width = F.col("_hi") - F.col("_lo")
-    share = (F.col(value).cast("double") - F.col("_lo")) / F.when(width > 0, width).otherwise(F.lit(1.0))
-    placed = placed.withColumn(
-        "_b", F.least(F.lit(buckets - 1), F.floor(share * buckets).cast("int"))
-    ).drop("_lo", "_hi")
+    shares = [n / buckets for n in range(1, buckets)]
+    spans = counts.groupBy(*by).agg(F.percentile_approx(value, shares, 4 * buckets).alias("_cuts"))
+    placed = counts.join(spans, by) if by else counts.withColumn("_cuts", spans.scalar())
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    placed = placed.withColumn("_b", below).drop("_cuts")
 
     ahead = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

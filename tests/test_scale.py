@@ -88,3 +88,15 @@ print("ROWS", entry.queries()["item_knn_cosine"](spark, "/root/testdata/sf0.001"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 10000" in run.stdout, run.stderr[-2000:]
+
+
+def test_an_outlier_does_not_fill_one_range(spark):
+    from ratingloom.operators.skew import running_counts
+
+    counts = spark.range(20_000).select(F.when(F.col("id") == 0, F.lit(1e12)).otherwise(F.col("id").cast("double")).alias("v"), F.lit(1).alias("c"))
+    placed = running_counts(counts, "v", "c")
+    rows = {r["v"]: r["before"] for r in placed.collect()}
+    assert rows[1.0] == 0 and rows[19_999.0] == 19_998 and rows[1e12] == 19_999
+    cuts = counts.agg(F.percentile_approx("v", [n / 256 for n in range(1, 256)], 1_024)).first()[0]
+    shares = np.bincount(np.searchsorted(cuts, sorted(rows)))
+    assert shares.max() < 0.02 * len(rows)

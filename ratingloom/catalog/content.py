@@ -192,6 +192,16 @@ def emb_sanity(spark, d):
     return diagnostics.sanity(views.item_embeddings(spark, d))
 
 
+@query("emb_overview", f"""WITH {EMB}, n AS (SELECT sqrt(list_inner_product(v, v)) AS n FROM emb),
+x AS (SELECT unnest(v) AS x FROM emb), same AS (SELECT count(*) AS c FROM emb GROUP BY list_transform(v, lambda x: round(x, 6)))
+SELECT count(*) AS n_items, (SELECT CAST(max(len(v)) AS INTEGER) FROM emb) AS dim, CAST(0 AS BIGINT) AS n_nan, CAST(0 AS BIGINT) AS n_inf,
+  (SELECT round(count(*) FILTER (x = 0) / count(*), 8) FROM x) AS zero_share, round(avg(n), 6) AS norm_mean, round(min(n), 6) AS norm_min,
+  round(max(n), 6) AS norm_max, (SELECT CAST(coalesce(sum(c) FILTER (c > 1), 0) AS BIGINT) FROM same) AS n_repeated FROM n""")
+def emb_overview(spark, d):
+    out = diagnostics.overview(views.item_embeddings(spark, d))
+    return _rounded(_rounded(out, "norm_mean", "norm_min", "norm_max"), "zero_share", digits=8)
+
+
 @query("emb_zero_var", f"""WITH {EMB}, x AS (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM emb)
 SELECT count(*) FILTER (s) AS zero_variance_dims, count(*) AS dim
 FROM (SELECT pos, var_pop(x) = 0 AS s FROM x GROUP BY pos)""")

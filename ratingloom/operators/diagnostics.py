@@ -30,6 +30,49 @@ def sanity(embeddings: DataFrame, vector_col: str = "embedding") -> DataFrame:
     )
 
 
+def overview(vectors: DataFrame) -> DataFrame:
+    """One row on any embedder's table, dense (``embedding``) or sparse (``indices``, ``values``).
+
+    Rows, dimensions, NaN and infinite entries, share of zeros, vector lengths, and how many rows
+    repeat another to six places. Two aggregates, both combined before their shuffle.
+    """
+    dense = "embedding" in vectors.columns
+    values = _doubles(F.col("embedding" if dense else "values"))
+    place = F.lit(0) if dense else F.col("indices")
+    rows = vectors.select(
+        values.alias("v"),
+        place.alias("at"),
+        (F.size("embedding") if dense else F.coalesce(F.array_max("indices") + 1, F.lit(0))).alias("dim"),
+    ).where("v IS NOT NULL")
+    rounded = F.transform("v", lambda x: F.round(x, DIGITS) + F.lit(0.0))
+    counted = F.col("n")
+    norm = l2_norm(F.col("v"))
+    grouped = rows.groupBy(rounded.alias("r"), "at").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("dim").alias("dim"),
+        F.sum(F.size(F.filter("v", lambda x: F.isnan(x)))).alias("nan"),
+        F.sum(F.size(F.filter("v", lambda x: F.abs(x) == float("inf")))).alias("inf"),
+        F.sum(F.size(F.filter("v", lambda x: x != 0))).alias("filled"),
+        F.sum(norm).alias("s"),
+        F.sum(norm * norm).alias("ss"),
+        F.min(norm).alias("lo"),
+        F.max(norm).alias("hi"),
+    )
+    total = F.sum(counted)
+    mean = F.sum("s") / total
+    return grouped.agg(
+        total.alias("n_items"),
+        F.max("dim").alias("dim"),
+        F.sum("nan").alias("n_nan"),
+        F.sum("inf").alias("n_inf"),
+        (1 - F.sum("filled") / (total * F.max("dim"))).alias("zero_share"),
+        mean.alias("norm_mean"),
+        F.min("lo").alias("norm_min"),
+        F.max("hi").alias("norm_max"),
+        F.sum(F.when(counted > 1, counted).otherwise(0)).alias("n_repeated"),
+    )
+
+
 def zero_variance_dims(embeddings: DataFrame, vector_col: str = "embedding") -> DataFrame:
     """How many dimensions hold one value only."""
     return (

@@ -187,6 +187,13 @@ def sparse_neighbors(
     return _merge(partial, k)
 
 
+def vector_neighbors(vectors: DataFrame, k: int, id_col: str = "item_id") -> DataFrame:
+    """Cosine neighbours of any embedder's rows: an array ``embedding``, or sparse ``indices`` and ``values``."""
+    if "embedding" in vectors.columns:
+        return item_neighbors(vectors, k, "cosine", id_col)
+    return sparse_neighbors(vectors, k, id_col)
+
+
 def query_neighbors(
     embeddings: DataFrame,
     queries: DataFrame,

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 ROWS_PER_SLICE = 512
@@ -67,6 +69,41 @@ def map_rows(
     return given.mapInArrow(run, out)
 
 
+FILTER_BITS = 1 << 26
+
+
+def maybe_among(key: Column, members: DataFrame, column: str) -> Column:
+    """Whether ``key`` may be one of the ids of ``members``: never false for one that is.
+
+    A bitmap of at most FILTER_BITS hashed ids, built by an aggregate and broadcast. It keeps rows
+    that cannot join out of a shuffle and is no substitute for the join: more ids than bits only
+    let more rows through. Null ids are among none.
+    """
+    spark = members.sparkSession
+    count = members.count()
+    bits = 1 << 16
+    while bits < min(FILTER_BITS, 32 * count):
+        bits *= 2
+    slot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
+    words = (
+        members.select(slot(F.col(column)).alias("s"))
+        .groupBy(F.shiftright("s", 5).alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, int(s % 32))")).alias("b"))
+        .toPandas()
+    )
+    table = np.zeros(bits // 32, np.uint32)
+    table[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).astype(np.uint32)
+    held = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def known(slots: pd.Series) -> pd.Series:
+        empty = slots.isna().to_numpy()
+        s = slots.fillna(0).to_numpy(np.int64)
+        return pd.Series((held.value[s >> 5] >> (s & 31).astype(np.uint32) & 1).astype(bool) & ~empty)
+
+    return known(F.when(key.isNotNull(), slot(key)))
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: int = 17) -> DataFrame:
     """About ``rows`` rows, and never more than twice as many, chosen by a hash of ``key``.
 

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ratingloom.llm.common import slices
+from ratingloom.llm.common import maybe_among, slices
 from ratingloom.llm.components import components
 from ratingloom.session import durable
 
@@ -216,7 +216,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     placed = durable(
         members.join(blocks, "grp").select("grp", "cls", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id")
     )
-    texts = rows.join(placed, "doc_id").select("grp", "cls", "blocks", "block", "doc_id", "text")
+    # few documents are in a group: the texts of the others stay where they are
+    texts = rows.filter(maybe_among(rows["doc_id"], placed, "doc_id")).join(placed, "doc_id").select("grp", "cls", "blocks", "block", "doc_id", "text")
     sets = texts.mapInArrow(_members, "grp long, cls int, blocks int, block int, doc_id long, set binary")
     # a cell (cls, x, y) compares block x of a class with block y of the same and of the next class
     every = F.sequence(F.lit(0), F.col("blocks") - 1)

@@ -405,3 +405,16 @@ def test_pipeline_equals_its_stages_on_plain_rows(spark):
     assert out.keys() == rows.keys() and len(rows) < len(near)
     for doc, r in out.items():
         assert prefix_viterbi.decode(r.token_ids, vocab) == personal_data.masked(rows[doc], weights) and r.round_trip
+
+
+def test_the_filter_before_a_join_never_loses_a_member(spark):
+    from pyspark.sql import functions as F
+
+    from ratingloom.llm import common
+
+    rows = spark.range(20_000).select(F.when(F.col("id") % 97 != 0, F.col("id")).alias("doc"))
+    members = rows.filter("doc % 50 = 1")
+    kept = {r.doc for r in rows.filter(common.maybe_among(F.col("doc"), members, "doc")).collect()}
+    want = {r.doc for r in members.collect()}
+    assert want <= kept and len(kept) < 1.5 * len(want)
+    assert rows.filter(common.maybe_among(F.col("doc"), members.limit(0), "doc")).count() == 0

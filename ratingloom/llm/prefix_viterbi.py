@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,7 +37,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NORMAL, BYTE = 1, 6
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
+MAX_NEIGHBOURS = 200_000
 SCHEMA = "n_words long, n_tokens long, token_ids array<int>, round_trip boolean"
 
 
@@ -47,11 +49,12 @@ class Vocabulary:
     ids: dict[str, int]
     byte_ids: list[int]
     pieces: list[bytes]
-    longest: int
     rank: dict[str, float]
+    names: list[str]
     parts: dict[str, tuple[str, str] | None] = field(default_factory=dict)
-    lengths: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    neighbours: dict[tuple[str, str], bool] = field(default_factory=dict)
+    sizes: list[int] = field(default_factory=list)
+    neighbours: dict[int, bool] = field(default_factory=dict)
+    automaton: ahocorasick.Automaton = field(default_factory=ahocorasick.Automaton)
 
     def merge(self, text: str) -> list[str]:
         """Pieces of ``text`` by the rule itself: the best-scored neighbouring pair first, leftmost on ties."""
@@ -81,39 +84,37 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return (parts[0], parts[1])
 
-    def stay_apart(self, left: str, right: str) -> bool:
-        """Whether the rules leave ``left`` and ``right`` as they are when one follows the other.
+    def stay_apart(self, left: int, right: int) -> bool:
+        """Whether the rules leave two pieces as they are when one follows the other.
 
         Both pieces are taken apart at the common border, latest merge first; a pair across the
         border that would be merged earlier than what was undone so far breaks them.
         """
-        known = self.neighbours.get((left, right))
-        if known is not None:
-            return known
         rank, parts = self.rank, self.parts
-        a, b = left, right
+        a, b = self.names[left], self.names[right]
         due_a, due_b = float("inf"), float("inf")  # when the edge piece is merged into its owner
         answer = True
         while True:
             across = rank.get(a + b)
             # on a tie the leftmost pair goes first: the owner on the left wins, the one on the right loses
-            if across is not None and across < due_a and across <= due_b and (due_b != float("inf") or across < due_b):
+            if across is not None and across < due_a and across <= due_b:
                 answer = False
                 break
             split_a, split_b = parts.get(a), parts.get(b)
-            rank_a = rank[a] if split_a else -1.0
-            rank_b = rank[b] if split_b else -1.0
             if not split_a and not split_b:
                 break
-            if rank_a > rank_b:
-                due_a, a = rank_a, split_a[1]
+            if (rank[a] if split_a else -1.0) > (rank[b] if split_b else -1.0):
+                due_a, a = rank[a], split_a[1]
             else:
-                due_b, b = rank_b, split_b[0]
-        if len(self.neighbours) > 1_000_000:
+                due_b, b = rank[b], split_b[0]
+        if len(self.neighbours) > MAX_NEIGHBOURS:
             self.neighbours.clear()
-        self.neighbours[(left, right)] = answer
+        self.neighbours[left << 16 | right] = answer
         return answer
 
+    def bytes_of(self, text: str) -> list[int]:
+        return [self.byte_ids[b] for b in text.encode("utf-8", "surrogatepass")]
+
 
 _loaded: dict[str, Vocabulary] = {}
 
@@ -128,9 +129,10 @@ def vocabulary(model: str = MODEL) -> Vocabulary:
     with open(model, "rb") as file:
         proto.ParseFromString(file.read())
     ids, rank = {}, {}
-    byte_ids, pieces = [0] * 256, []
+    byte_ids, pieces, names = [0] * 256, [], []
     for n, p in enumerate(proto.pieces):
         pieces.append(b"")
+        names.append(p.piece)
         if p.type == BYTE:
             byte_ids[int(p.piece[3:5], 16)] = n
             pieces[n] = bytes([int(p.piece[3:5], 16)])
@@ -138,18 +140,16 @@ def vocabulary(model: str = MODEL) -> Vocabulary:
             ids[p.piece] = n
             rank[p.piece] = -p.score
             pieces[n] = p.piece.replace(MARK, " ").encode()
-    out = Vocabulary(ids, byte_ids, pieces, max(map(len, ids)), rank)
-    lengths: dict[str, set[int]] = {}
-    for piece in ids:
-        if len(piece) > 1:
-            split = out._last_merge(piece)
-            if split is None or out.merge(piece) != [piece]:
-                continue
-            out.parts[piece] = split
-        else:
-            out.parts[piece] = None
-        lengths.setdefault(piece[-2:], set()).add(len(piece))
-    out.lengths = {tail: tuple(sorted(s, reverse=True)) for tail, s in lengths.items()}
+    if len(pieces) > 1 << 16:
+        raise ValueError("neighbours are remembered for vocabularies of up to 65,536 pieces")
+    out = Vocabulary(ids, byte_ids, pieces, rank, names, sizes=[len(n) for n in names])
+    for piece, n in ids.items():
+        split = out._last_merge(piece) if len(piece) > 1 else None
+        if len(piece) > 1 and (split is None or out.merge(piece) != [piece]):
+            continue  # the rules never build it
+        out.parts[piece] = split
+        out.automaton.add_word(piece, n)
+    out.automaton.make_automaton()
     _loaded[model] = out
     return out
 
@@ -160,73 +160,67 @@ class PrefixEncoder:
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.word = ""
-        self.last: list[str] = [""]  # state of each prefix: its last piece
+        self.last: list[int] = [-1]  # state of each prefix: the id of its last piece, -1 if that is no piece
         self.nodes = 0  # states made, for tests
 
-    def pieces(self, word: str) -> list[str]:
-        old, last = self.word, self.last
+    def ids(self, word: str) -> list[int]:
+        old, last, vocab = self.word, self.last, self.vocab
         shared, most = 0, min(len(old), len(word))
         while shared < most and old[shared] == word[shared]:
             shared += 1
         del last[shared + 1 :]
-        vocab = self.vocab
-        parts, lengths, apart, known = vocab.parts, vocab.lengths, vocab.stay_apart, vocab.neighbours
-        for end in range(shared + 1, len(word) + 1):
-            self.nodes += 1
-            chosen = word[end - 1]  # outside the vocabulary: a piece of its own that joins nothing
-            tail = word[max(0, end - 2) : end]
-            sizes = lengths.get(tail, ())
-            if end > 1:
-                sizes = (*sizes, 1)
-            for size in sizes:
-                if size > end:
-                    continue
-                piece = word[end - size : end]
-                if piece not in parts:
-                    continue
-                before = last[end - size]
-                fits = not before or known.get((before, piece))
+        known, sizes, unset = vocab.neighbours, vocab.sizes, len(word) - shared
+        self.nodes += unset
+        last += [-1] * unset  # characters outside the vocabulary join nothing
+        done = shared - 1
+        # all pieces that end at each place, the longest first; places of the shared prefix have their state
+        for at, piece in vocab.automaton.iter(word):
+            if at <= done:
+                continue
+            before = last[at + 1 - sizes[piece]]
+            if before >= 0:
+                fits = known.get(before << 16 | piece)
                 if fits is None:
-                    fits = before not in parts or apart(before, piece)
-                if fits:
-                    chosen = piece
-                    break
-            last.append(chosen)
+                    fits = vocab.stay_apart(before, piece)
+                if not fits:
+                    continue
+            last[at + 1] = piece
+            done = at
         self.word = word
         out, end = [], len(word)
         while end:
-            out.append(last[end])
-            end -= len(last[end])
+            piece = last[end]
+            if piece >= 0:
+                out.append(piece)
+                end -= sizes[piece]
+            else:
+                end -= 1
+                out += vocab.bytes_of(word[end])[::-1]
         return out[::-1]
 
 
-def ids_of(pieces: Iterable[str], vocab: Vocabulary) -> array:
-    out = array("i")
-    for p in pieces:
-        n = vocab.ids.get(p)
-        if n is None:
-            out.extend(vocab.byte_ids[b] for b in p.encode("utf-8", "surrogatepass"))
-        else:
-            out.append(n)
-    return out
-
-
 def marked_words(text: str) -> list[str]:
-    """The words of a text, each with its mark; the text itself gets a mark in front."""
+    """The words of a text without the single mark in front; other marks are part of the word.
+
+    The text itself gets a mark in front.
+    """
     if not text:
         return []
     if MARK not in text and text[0] != " " and "  " not in text and text[-1] != " ":
-        return [MARK + w for w in text.split(" ")]
-    return WORD.findall(MARK + text.replace(" ", MARK))
+        return text.split(" ")
+    return [w[1:] if MARK not in w[1:] else w for w in WORD.findall(MARK + text.replace(" ", MARK))]
 
 
-def encode_words(words: Iterable[str], vocab: Vocabulary) -> dict[str, array]:
-    """The ids of distinct words, found in one walk over their trie."""
+def encode_words(words: Iterable[str], vocab: Vocabulary) -> dict[str, bytes]:
+    """The ids (four bytes each) of distinct words, found in one walk over their trie."""
     encoder = PrefixEncoder(vocab)
     out = {}
     for word in sorted(words):
-        plain = word.startswith(MARK) and not word.startswith(MARK, 1)
-        out[word] = ids_of(encoder.pieces(word) if plain else vocab.merge(word), vocab)
+        if MARK in word:
+            ids = [i for p in vocab.merge(word) for i in ([vocab.ids[p]] if p in vocab.ids else vocab.bytes_of(p))]
+        else:
+            ids = encoder.ids(MARK + word)
+        out[word] = array("i", ids).tobytes()
     return out
 
 
@@ -236,20 +230,26 @@ def decode(ids: Iterable[int], vocab: Vocabulary) -> str:
     return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
+_recent: dict[str, list[dict[str, bytes]]] = {}
+
+
 def _encoder(model: str) -> Callable[[list[str | None]], Iterator[tuple]]:
+    """Encodes slices of texts. The words of the last slices are remembered per process: when the
+    newer half of the memory is full it becomes the older half, whose words come back on use."""
     vocab = vocabulary(model)
-    cache: dict[str, array] = {}
+    memory = _recent.setdefault(model, [{}, {}])
 
     def encode(texts: list[str | None]) -> Iterator[tuple]:
         words = [marked_words(t or "") for t in texts]
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        cache.update(encode_words(set(chain.from_iterable(words)) - cache.keys(), vocab))
+        if len(memory[0]) > CACHE_WORDS:
+            memory[:] = [{}, memory[0]]
+        newer, older = memory
+        missing = set(chain.from_iterable(words)) - newer.keys()
+        newer.update((w, older[w]) for w in missing & older.keys())
+        newer.update(encode_words(missing - older.keys(), vocab))
         for text, own in zip(texts, words):
-            ids = array("i")
-            for word in own:
-                ids += cache[word]
-            yield len(own), len(ids), ids, decode(ids, vocab) == (text or "")
+            ids = np.frombuffer(b"".join(map(newer.__getitem__, own)), np.int32)
+            yield len(own), len(ids), ids, decode(ids.tolist(), vocab) == (text or "")
 
     return encode
 
@@ -271,7 +271,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, text: str = "text", keep:
             offsets = array("i", [0])
             for r in rows:
                 offsets.append(offsets[-1] + r[1])
-            flat = pa.array(np.concatenate([np.frombuffer(r[2], np.int32) for r in rows] or [np.zeros(0, np.int32)]), pa.int32())
+            flat = pa.array(np.concatenate([r[2] for r in rows] or [np.zeros(0, np.int32)]), pa.int32())
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
             made = [
                 pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),

@@ -23,12 +23,16 @@ import math
 import random
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from ratingloom.llm.common import bounded_sample, collected, map_rows
+from ratingloom.llm.common import bounded_sample, collected, slices
 
 SAMPLE = 150
 VARIANTS = 4
@@ -36,6 +40,7 @@ SAMPLE_PAGE_CHARS = 50_000
 TREES, DEPTH, RATE, BINS = 50, 4, 0.3, 24
 MIN_LEAF = 8
 MAX_TOKENS = 120
+PAGES_AT_ONCE = 64
 SCHEMA = "text string, n_chars long"
 
 TAG = re.compile(
@@ -472,12 +477,21 @@ def decoded(page: Page, score: np.ndarray) -> np.ndarray:
     return kept
 
 
+def main_texts(sources: list[str | None], model: Model) -> list[str]:
+    """The main texts of some pages; their nodes are scored together."""
+    pages = [parse(s or "") for s in sources]
+    features = [node_features(page, model.tokens) for page in pages]
+    scores = model.trees.score(np.vstack(features)) if pages else np.zeros(0)
+    out, at = [], 0
+    for page in pages:
+        kept = decoded(page, scores[at : at + len(page.tag)])
+        at += len(page.tag)
+        out.append("\n\n".join(text for owner, text, _ in page.runs if kept[owner]))
+    return out
+
+
 def main_text(source: str | None, model: Model) -> str:
-    page = parse(source or "")
-    if not page.runs:
-        return ""
-    kept = decoded(page, model.trees.score(node_features(page, model.tokens)))
-    return "\n\n".join(text for owner, text, _ in page.runs if kept[owner])
+    return main_texts([source], model)[0]
 
 
 def fit(pages: DataFrame, html: str = "html", key: str = "page_id", sample: int = SAMPLE) -> Model:
@@ -488,12 +502,16 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id", sample: int
 
 def extract(pages: DataFrame, model: Model, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """Columns ``keep``, the main text and its length in code points; no shuffle."""
-
-    def make():
-        def work(source):
-            text = main_text(source, model)
-            return text, len(text)
-
-        return work
-
-    return map_rows(pages, [html], make, SCHEMA, keep)
+    given = pages.select(*[pages[c] for c in keep], pages[html].alias("_html"))
+    out = StructType([*given.schema.fields[:-1], *StructType.fromDDL(SCHEMA)])
+    n_keep = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(out)
+        for piece in slices(batches, PAGES_AT_ONCE):
+            texts = main_texts(piece.column(n_keep).to_pylist(), model)
+            made = [pa.array(texts, arrow.field(n_keep).type), pa.array([len(t) for t in texts], pa.int64())]
+            kept = [piece.column(n).cast(arrow.field(n).type) for n in range(n_keep)]
+            yield pa.RecordBatch.from_arrays([*kept, *made], schema=arrow)
+
+    return given.mapInArrow(run, out)

@@ -11,28 +11,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.llm import decontamination, minmax_dedup, ordinal_toxicity, personal_data, prefix_viterbi
+from ratingloom.llm.common import short_batches
 from ratingloom.session import durable
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the ordinal regression does not reject."""
+    short_batches(spark)
     model = ordinal_toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.filter(~ordinal_toxicity.is_toxic(docs["text"], model))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates."""
+    short_batches(spark)
     return minmax_dedup.first_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without any window of a benchmark item."""
+    short_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return docs.filter(~decontamination.is_contaminated(docs["text"], spark, items))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars follows where the text changes."""
+    short_batches(spark)
     weights = personal_data.fit(docs)
     masked = personal_data.without_personal_data(docs["text"], weights)
     out = docs.withColumn("__masked", masked)
@@ -43,6 +48,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, counts, token ids and the round-trip check of every document."""
+    short_batches(spark)
     return prefix_viterbi.encode_texts(docs)
 
 

@@ -6,19 +6,21 @@ import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 ROWS_PER_SLICE = 512
+ROWS_PER_BATCH = 1_024
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
@@ -72,12 +74,12 @@ def map_rows(
 FILTER_BITS = 1 << 26
 
 
-def maybe_among(key: Column, members: DataFrame, column: str) -> Column:
-    """Whether ``key`` may be one of the ids of ``members``: never false for one that is.
+def member_bitmap(members: DataFrame, column: str) -> tuple[Callable[[Column], Column], Callable[[np.ndarray], np.ndarray]]:
+    """(slot, among): ``slot`` of an id, and whether slots may be those of ids of ``members``.
 
-    A bitmap of at most FILTER_BITS hashed ids, built by an aggregate and broadcast. It keeps rows
-    that cannot join out of a shuffle and is no substitute for the join: more ids than bits only
-    let more rows through. Null ids are among none.
+    A bitmap of at most FILTER_BITS hashed ids, built by an aggregate and broadcast. ``among`` is
+    never false for a member. It keeps rows that cannot join out of a shuffle and is no substitute
+    for the join: more ids than bits only let more rows through.
     """
     spark = members.sparkSession
     count = members.count()
@@ -94,14 +96,14 @@ def maybe_among(key: Column, members: DataFrame, column: str) -> Column:
     table = np.zeros(bits // 32, np.uint32)
     table[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).astype(np.uint32)
     held = spark.sparkContext.broadcast(table)
+    return slot, lambda s: (held.value[s >> 5] >> (s & 31).astype(np.uint32) & 1).astype(bool)
 
-    @F.pandas_udf("boolean")
-    def known(slots: pd.Series) -> pd.Series:
-        empty = slots.isna().to_numpy()
-        s = slots.fillna(0).to_numpy(np.int64)
-        return pd.Series((held.value[s >> 5] >> (s & 31).astype(np.uint32) & 1).astype(bool) & ~empty)
 
-    return known(F.when(key.isNotNull(), slot(key)))
+def short_batches(spark: SparkSession) -> None:
+    """Hands rows to Python in batches of ROWS_PER_BATCH at most: long texts make long batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > ROWS_PER_BATCH:
+        spark.conf.set(name, str(ROWS_PER_BATCH))
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: int = 17) -> DataFrame:

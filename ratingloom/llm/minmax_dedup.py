@@ -21,13 +21,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ratingloom.llm.common import maybe_among, slices
+from ratingloom.llm.common import member_bitmap, slices
 from ratingloom.llm.components import components
 from ratingloom.session import durable
 
@@ -155,13 +155,16 @@ def similar_within(sets: list[np.ndarray], percent: int = SIMILAR_PERCENT) -> li
     return links
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, class, blocks, block, doc_id, text) to the same with the set instead of the text."""
-    with np.errstate(over="ignore"):
-        for piece in slices(batches, 128):
-            sets = [shingle_hashes(t) for t in piece.column(5).to_pylist()]
-            packed = pa.array([s.tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in range(5)), packed], names=["grp", "cls", "blocks", "block", "doc_id", "set"])
+def _sets_of(among: Callable[[np.ndarray], np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(doc_id, slot, text) to the sets of the documents that may be wanted."""
+        with np.errstate(over="ignore"):
+            for piece in slices(batches):
+                piece = piece.filter(pa.array(among(piece.column(1).to_numpy(zero_copy_only=False))))
+                sets = [shingle_hashes(t).tobytes() for t in piece.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
+
+    return run
 
 
 def _links_of_cells(percent: int):
@@ -217,8 +220,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
         members.join(blocks, "grp").select("grp", "cls", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id")
     )
     # few documents are in a group: the texts of the others stay where they are
-    texts = rows.filter(maybe_among(rows["doc_id"], placed, "doc_id")).join(placed, "doc_id").select("grp", "cls", "blocks", "block", "doc_id", "text")
-    sets = texts.mapInArrow(_members, "grp long, cls int, blocks int, block int, doc_id long, set binary")
+    slot, among = member_bitmap(placed, "doc_id")
+    wanted = rows.filter("doc_id is not null").select("doc_id", slot(F.col("doc_id")).alias("slot"), "text")
+    sets = wanted.mapInArrow(_sets_of(among), "doc_id long, set binary").join(placed, "doc_id")
     # a cell (cls, x, y) compares block x of a class with block y of the same and of the next class
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     cell = lambda c, x, y: F.struct(c.alias("cls"), x.alias("x"), y.alias("y"))

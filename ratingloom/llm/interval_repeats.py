@@ -19,8 +19,10 @@ with more distinct surroundings than GROUP are not held by one task; they go by
 all their windows, aggregated by Spark, with the same result.
 
 Null and short texts (under SIZE bytes) keep all their bytes. Documents are ordered by doc_id, a
-null id before all; rows that share a doc_id are compared by start alone, so exact repeats of a
-row keep what the row itself keeps. Extra columns are not read.
+null id before all; rows that share a doc_id are compared by start alone: a place is removed for
+what starts earlier in any of them, never for the same start in another. A row is named by doc_id
+and a digest of its text, so rows equal in both count as one and keep the same, and different
+texts under one doc_id (or under none) have spans of their own. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -103,83 +106,99 @@ def _encoded(text: str | None) -> bytes:
 
 
 # place and the bytes that follow it (SIZE at most) travel as one number
-ANCHORS = "anchor long, around long, doc long, spot long"
+ANCHORS = "anchor long, around long, doc long, spot long, row long"
 SPOT = 128
 
 
+def _named(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(doc, text, row): ``row`` is a digest of the text, which tells rows of one doc_id apart."""
+    return docs.select(F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("row"))
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) to anchors. Of those that agree all around, only what may be the earliest goes on;
+    """(doc, text, row) to anchors. Of those that agree all around, only what may be the earliest goes on;
     for the others a row without anchor says that the text around ``place`` is repeated."""
     with np.errstate(over="ignore"):
         for piece in slices(batches):
             parts = []
-            for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+            for doc, text, row in zip(*(piece.column(n).to_pylist() for n in range(3))):
                 raw = np.frombuffer(_encoded(text), np.uint8)
                 places, grams, around = anchors(raw)
                 if len(places):
-                    parts.append((grams, around, np.full(len(places), doc, np.int64), places * SPOT + np.minimum(len(raw) - places, SIZE)))
+                    names = (np.full(len(places), x, np.int64) for x in (doc, row))
+                    parts.append((grams, around, next(names), places * SPOT + np.minimum(len(raw) - places, SIZE), next(names)))
             if not parts:
                 continue
-            grams, around, docs, spots = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((spots, docs, around, grams))
-            grams, around, docs, spots = (x[order] for x in (grams, around, docs, spots))
-            later = np.zeros(len(grams), bool)
-            later[1:] = (grams[1:] == grams[:-1]) & (around[1:] == around[:-1])
-            # an equal place in a row of the same doc_id is no earlier one: it is decided after the shuffle with the first
+            columns = [np.concatenate(x) for x in zip(*parts)]
+            order = np.lexsort(columns[::-1])
+            columns = [x[order] for x in columns]
+            once = _changes(*columns)  # repeated rows count once
+            grams, around, docs, spots, rows = columns if once.all() else [x[once] for x in columns]
+            # the same place in another row of the same doc_id is no earlier one
+            first = _run_starts(_changes(grams, around))
+            later = (docs != docs[first]) | (spots != spots[first])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(grams.view(np.int64), mask=later), pa.array(around.view(np.int64), mask=later),
-                    pa.array(docs), pa.array(spots),
+                    pa.array(docs), pa.array(spots), pa.array(rows),
                 ],
-                names=["anchor", "around", "doc", "spot"],
+                names=["anchor", "around", "doc", "spot", "row"],
             )
 
 
-REPEATED = "anchor long, doc long, spot long, covered boolean"
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the row before it; the first one always does."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for x in columns:
+        out[1:] |= x[1:] != x[:-1]
+    return out
+
+
+def _run_starts(new: np.ndarray) -> np.ndarray:
+    """For each row the place of the last row marked in ``new``."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
+REPEATED = "anchor long, around long, doc long, spot long, row long, covered boolean"
 
 
 def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (anchor, around, doc, spot). The first of each surrounding is kept if its anchor has
-    another surrounding; the others are covered. Only the last row is held from batch to batch."""
-    before = None  # the last row, and whether the first surrounding of its anchor was already passed on
+    """Rows in order of (anchor, around, doc, spot, row). The first of each surrounding is kept if its anchor has
+    another surrounding, and so are other rows with the very doc and spot of the first; what comes later is
+    covered. Two rows are held from batch to batch: the last one and the first of its surrounding."""
+    last = opening = None  # the last row and the first of its surrounding
+    waiting = None  # the first surrounding of the anchor, not passed on yet
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, h, d, p = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(4))
-        n = len(a)
-        prev_a, prev_h = np.empty(n, np.int64), np.empty(n, np.int64)
-        prev_a[1:], prev_h[1:] = a[:-1], h[:-1]
-        if before is None:
-            same_a0 = same_h0 = False
-        else:
-            same_a0 = before["a"] == a[0]
-            same_h0 = same_a0 and before["h"] == h[0]
-        same_a, same_h = prev_a == a, (prev_a == a) & (prev_h == h)
-        same_a[0], same_h[0] = same_a0, same_h0
-        new = ~same_h  # first row of a surrounding
-        covered = same_h.copy()
-        # the first surrounding of an anchor is passed on as soon as a second one shows up
-        second = new & same_a
-        keep = second.copy()
-        opens = np.flatnonzero(new & ~same_a)
-        group = np.cumsum(new & ~same_a)  # 0: the anchor that the last batch ended with
+        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in range(5)]
+        held = 0 if last is None else 2
+        if held:  # the held rows lead; they are not passed on again
+            columns = [np.concatenate([[f, x], c]) for f, x, c in zip(opening, last, columns)]
+        a, h, d, p, _ = columns
+        new_anchor, new = _changes(a), _changes(a, h)
+        first = _run_starts(new)
+        fresh = _changes(*columns)
+        fresh[:held] = False
+        same_place = (d == d[first]) & (p == p[first])
+        second = new & ~new_anchor
+        group = np.cumsum(new_anchor) - 1  # 0: the anchor of the held rows, if any
         has_second = np.zeros(group[-1] + 1, bool)
         has_second[group[second]] = True
-        keep[opens] = has_second[group[opens]]
-        rows = [(a[keep], d[keep], p[keep], np.zeros(int(keep.sum()), bool))]
-        rows.append((a[covered], d[covered], p[covered], np.ones(int(covered.sum()), bool)))
-        if before is not None and has_second[0] and not before["passed"]:
-            f = before["first"]
-            rows.append(tuple(np.array([x]) for x in (*f, False)))
-        if group[-1] == 0:
-            passed = before["passed"] or has_second[0]
-            first = before["first"]
-        else:
-            passed = bool(has_second[group[-1]])
-            at = opens[-1]
-            first = (a[at], d[at], p[at])
-        before = {"a": a[-1], "h": h[-1], "passed": passed, "first": first}
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows)], names=["anchor", "doc", "spot", "covered"])
+        covered = fresh & ~same_place
+        keep = fresh & same_place & (~new_anchor | has_second[group])
+        rows = [tuple(c[keep] for c in columns) + (np.zeros(int(keep.sum()), bool),)]
+        rows.append(tuple(c[covered] for c in columns) + (np.ones(int(covered.sum()), bool),))
+        if waiting is not None and has_second[0]:
+            rows.append(tuple(np.array([x]) for x in (*waiting, False)))
+        if group[-1] or not held:
+            at = np.flatnonzero(new_anchor)[-1]
+            waiting = None if has_second[group[-1]] else tuple(c[at] for c in columns)
+        elif has_second[0]:
+            waiting = None
+        opening, last = tuple(c[first[-1]] for c in columns), tuple(c[-1] for c in columns)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows)], names=["anchor", "around", "doc", "spot", "row", "covered"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,28 +206,30 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     compress = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
     for piece in slices(batches):
         packed = [None if t is None else compress(_encoded(t)) for t in piece.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(packed, pa.binary())], names=["doc", "packed"])
+        yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(packed, pa.binary()), piece.column(2)], names=["doc", "packed", "row"])
+
+
+PACKED = "doc long, packed binary, row long"
 
 
 def _unpacked(packed: bytes | None) -> bytes:
     return b"" if packed is None else zstandard.ZstdDecompressor().decompress(packed, max_output_size=zstandard.frame_content_size(packed) or 1)
 
 
-CONTEXTS = "anchor long, doc long, place long, left binary, right binary"
+CONTEXTS = "anchor long, doc long, place long, left binary, right binary, row long"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(packed text, doc, places, anchors) to the bytes before and from each place."""
+    """(packed text, doc, row, places, anchors) to the bytes before and from each place."""
     left = SIZE - K
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
     for piece in slices(batches, 128):
         out = []
-        for packed, doc, places, names in zip(*(piece.column(n).to_pylist() for n in range(4))):
+        for packed, doc, row, places, names in zip(*(piece.column(n).to_pylist() for n in range(5))):
             raw = _unpacked(packed)
-            # a place beyond the text belongs to another row of the same doc_id
-            out += [(a, doc, p, raw[max(0, p - left) : p], raw[p : p + SIZE]) for p, a in zip(places, names) if p + K <= len(raw)]
-        columns = list(zip(*out)) if out else [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "doc", "place", "left", "right"])
+            out += [(a, doc, p, raw[max(0, p - left) : p], raw[p : p + SIZE], row) for p, a in zip(places, names)]
+        columns = list(zip(*out)) if out else [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "doc", "place", "left", "right", "row"])
 
 
 def _common(x: int, y: int, size: int) -> int:
@@ -260,32 +281,38 @@ def _intervals_of(rows: list[tuple], size: int) -> list[tuple[int, int, int]]:
     return intervals(prefixes)
 
 
-def removals(occurrences: list[tuple[int, int, bytes, bytes]], size: int = SIZE, k: int = K) -> list[tuple[int, int, int]]:
+def removals(occurrences: list[tuple], size: int = SIZE, k: int = K) -> list[tuple]:
     """(doc, start, end) of what each occurrence shares with an earlier one, if ``size`` bytes or more.
 
     Per interval the members are taken in order of doc and place and kept sorted by the bytes
     before the anchor: the longest agreement with an earlier member is with a neighbour there.
+    What an occurrence has beyond doc, place and bytes is handed on behind its spans.
     """
     left = size - k
-    rows = sorted((int.from_bytes(r.ljust(size, b"\0"), "big"), len(r), int.from_bytes(b[::-1].ljust(left, b"\0"), "big"), len(b), d, p) for d, p, b, r in occurrences)
+    rows = sorted((int.from_bytes(r.ljust(size, b"\0"), "big"), len(r), int.from_bytes(b[::-1].ljust(left, b"\0"), "big"), len(b), d, p, *x) for d, p, b, r, *x in occurrences)
     out = []
     for depth, first, last in _intervals_of(rows, size):
         need = size - depth
         if need > left:
             continue
         keys: list[int] = []
-        held: list[tuple[int, int, int]] = []  # length of the bytes before, doc, place
-        for r in sorted(rows[first : last + 1], key=lambda r: (r[4], r[5])):
-            before, length, doc, place = r[2:]
-            at = bisect_left(keys, before)
-            best = -1
-            for n in (at - 1, at):
-                if 0 <= n < len(keys) and held[n][1:] != (doc, place):
-                    best = max(best, min(_common(keys[n], before, left), held[n][0], length))
-            if best >= need:
-                out.append((doc, place - best, place + depth))
-            keys.insert(at, before)
-            held.insert(at, (length, doc, place))
+        held: list[int] = []  # length of the bytes before
+        # members at the same place of the same doc are no earlier ones for each other
+        for (doc, place), members in groupby(sorted(rows[first : last + 1], key=lambda r: (r[4], r[5])), key=lambda r: (r[4], r[5])):
+            found = []
+            for _, _, before, length, _, _, *more in members:
+                at = bisect_left(keys, before)
+                best = -1
+                for n in (at - 1, at):
+                    if 0 <= n < len(keys):
+                        best = max(best, min(_common(keys[n], before, left), held[n], length))
+                if best >= need:
+                    out.append((doc, place - best, place + depth, *more))
+                found.append((before, length))
+            for before, length in found:
+                at = bisect_left(keys, before)
+                keys.insert(at, before)
+                held.insert(at, length)
     return out
 
 
@@ -294,15 +321,15 @@ def _group_removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     name, held, out = None, [], []
 
     def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc", "start", "end"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc", "start", "end", "row"])
 
     for piece in slices(batches, 4_096):
-        for anchor, doc, place, before, after in zip(*(piece.column(n).to_pylist() for n in range(5))):
+        for anchor, doc, place, before, after, row in zip(*(piece.column(n).to_pylist() for n in range(6))):
             if anchor != name:
                 if len(held) > 1:
                     out += removals(held)
                 name, held = anchor, []
-            held.append((doc, place, before, after))
+            held.append((doc, place, before, after, row))
         if out:
             yield batch(out)
             out = []
@@ -316,13 +343,13 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts to the digests of all their windows that hold the anchor."""
     for piece in slices(batches, 64):
         out = []
-        for _, doc, place, before, after in zip(*(piece.column(n).to_pylist() for n in range(5))):
+        for _, doc, place, before, after, row in zip(*(piece.column(n).to_pylist() for n in range(6))):
             around = before + after
             for n in range(len(around) - SIZE + 1):
-                out.append((hashlib.blake2b(around[n : n + SIZE], digest_size=16).digest(), doc, place - len(before) + n))
-        columns = list(zip(*out)) if out else [()] * 3
-        kinds = (pa.binary(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["window", "doc", "start"])
+                out.append((hashlib.blake2b(around[n : n + SIZE], digest_size=16).digest(), doc, place - len(before) + n, row))
+        columns = list(zip(*out)) if out else [()] * 4
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["window", "doc", "start", "row"])
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -355,47 +382,51 @@ def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _with_contexts(rows: DataFrame, open_: DataFrame) -> DataFrame:
+    """The occurrences (anchor, doc, row, place) with the bytes around them; each row's text is read once."""
+    wanted = open_.groupBy("doc", "row").agg(F.collect_list("place").alias("places"), F.collect_list("anchor").alias("anchors"))
+    packed = rows.mapInArrow(_packed, PACKED).dropDuplicates(["doc", "row"])
+    return packed.join(wanted, ["doc", "row"]).select("packed", "doc", "row", "places", "anchors").mapInArrow(_contexts, CONTEXTS)
+
+
 def removed_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", group: int = GROUP) -> DataFrame:
-    """(doc, starts, ends): what of each document is repeated from earlier places; lists of spans that may overlap."""
-    rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text].alias("text"))
+    """(doc, row, starts, ends): what of each text is repeated from earlier places; lists of spans that may overlap."""
+    rows = _named(docs, text, key)
     found = rows.mapInArrow(_anchor_rows, ANCHORS)  # scanned once for each use: cheaper than to write all anchors
     place, after = F.floor(F.col("spot") / SPOT), F.col("spot") % SPOT
     around = lambda t: t.select(
-        "doc", F.greatest(place - (SIZE - K), F.lit(0)).alias("start"), (place + after).alias("end")
+        "doc", F.greatest(place - (SIZE - K), F.lit(0)).alias("start"), (place + after).alias("end"), "row"
     ).filter(F.col("end") - F.col("start") >= SIZE)
     local = around(found.filter("anchor is null"))
     sorted_rows = (
-        found.filter("anchor is not null").repartition("anchor").sortWithinPartitions("anchor", "around", "doc", "spot")
+        found.filter("anchor is not null").repartition("anchor").sortWithinPartitions("anchor", "around", "doc", "spot", "row")
     )
-    repeated = durable(sorted_rows.mapInArrow(_repeated_anchors, REPEATED))
+    repeated = durable(sorted_rows.mapInArrow(_repeated_anchors, REPEATED).drop("around"))
     whole = around(repeated.filter("covered"))
 
-    open_ = repeated.filter("not covered").select("anchor", "doc", place.alias("place"))
+    open_ = repeated.filter("not covered").select("anchor", "doc", place.alias("place"), "row")
     hot = durable(open_.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group).select("anchor"))
-    wanted = open_.groupBy("doc").agg(F.collect_list("place").alias("places"), F.collect_list("anchor").alias("anchors"))
-    packed = rows.mapInArrow(_packed, "doc long, packed binary")
-    contexts = packed.join(wanted, "doc").select("packed", "doc", "places", "anchors").mapInArrow(_contexts, CONTEXTS)
+    contexts = _with_contexts(rows, open_)
     if hot.isEmpty():
         cold, spread = contexts, None
     else:
         contexts = durable(contexts)
         cold, spread = contexts.join(hot, "anchor", "left_anti"), contexts.join(hot, "anchor", "left_semi")
-    compared = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_group_removals, "doc long, start long, end long")
+    compared = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_group_removals, "doc long, start long, end long, row long")
     spans = local.union(whole).union(compared)
     if spread is not None:
-        windows = durable(spread.select(*contexts.columns).mapInArrow(_window_rows, "window binary, doc long, start long"))
+        windows = durable(spread.select(*contexts.columns).mapInArrow(_window_rows, "window binary, doc long, start long, row long"))
         first = durable(windows.groupBy("window").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("window", "first"))
         later = windows.join(first, "window").filter(F.struct("doc", "start") > F.col("first"))
-        spans = spans.union(later.select("doc", "start", (F.col("start") + SIZE).alias("end")))
-    return spans.groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+        spans = spans.union(later.select("doc", "start", (F.col("start") + SIZE).alias("end"), "row"))
+    return spans.groupBy("doc", "row").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", group: int = GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (starts and ends in turn) of every row."""
     spans = removed_spans(docs, text, key, group)
-    rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text].alias("text"))
-    packed = rows.mapInArrow(_packed, "doc long, packed binary")
-    joined = packed.join(spans, "doc", "left")
+    packed = _named(docs, text, key).mapInArrow(_packed, PACKED)
+    joined = packed.join(spans, ["doc", "row"], "left")
     doc_id = F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
     return joined.select("packed", "starts", "ends", doc_id).mapInArrow(
         _results, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>"
@@ -407,12 +438,10 @@ def maximal_repeat_groups(docs: DataFrame, text: str = "text", key: str = "doc_i
 
     Occurrences with equal surroundings are listed once, by the earliest; groups are bounded by GROUP.
     """
-    rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text].alias("text"))
+    rows = _named(docs, text, key)
     found = rows.mapInArrow(_anchor_rows, ANCHORS).filter("anchor is not null")
-    repeated = found.repartition("anchor").sortWithinPartitions("anchor", "around", "doc", "spot").mapInArrow(_repeated_anchors, REPEATED)
-    wanted = repeated.filter("not covered").withColumn("place", F.floor(F.col("spot") / SPOT)).groupBy("doc").agg(F.collect_list("place").alias("places"), F.collect_list("anchor").alias("anchors"))
-    packed = rows.mapInArrow(_packed, "doc long, packed binary")
-    contexts = packed.join(wanted, "doc").select("packed", "doc", "places", "anchors").mapInArrow(_contexts, CONTEXTS)
+    repeated = found.repartition("anchor").sortWithinPartitions("anchor", "around", "doc", "spot", "row").mapInArrow(_repeated_anchors, REPEATED)
+    contexts = _with_contexts(rows, repeated.filter("not covered").withColumn("place", F.floor(F.col("spot") / SPOT)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held = None, []

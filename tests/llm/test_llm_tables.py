@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -162,6 +163,37 @@ def test_removed_bytes_of_odd_texts_equal_the_plain_ones(spark, group):
     assert removal(spark.createDataFrame(rows, "doc_id long, text string"), group=group) == plain_removal(rows)
 
 
+@pytest.mark.parametrize("group", [interval_repeats.GROUP, 2])
+def test_rows_of_one_doc_id_have_their_own_spans(spark, group):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common, one, two, three, four = word(250), word(330), word(400), word(350), word(360)
+    rows = [(1, one), (1, one), (None, common + two), (None, common + three), (None, word(40) + common), (None, common + two), (4, four + common), (4, four + common), (5, one + four)]
+    # alone, in one slice and over several tasks
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((r.doc_id or 0, r.n_bytes, tuple(r.removed)) for r in interval_repeats.remove_repeats(df, group=group).collect())
+        want = [(0, 290, (40, 290)), (0, 600, ()), (0, 650, ()), (0, 650, ()), (1, 330, ()), (1, 330, ()), (4, 610, (360, 610)), (4, 610, (360, 610)), (5, 690, (0, 690))]
+        assert got == want
+
+
+def test_repeated_anchors_do_not_depend_on_the_batches():
+    rng = random.Random(8)
+    rows = sorted(tuple(rng.randrange(k) for k in (4, 2, 2, 2, 3)) for _ in range(90))
+    want, names = set(), ["anchor", "around", "doc", "spot", "row"]
+    for r in rows:
+        first = min(x for x in rows if x[:2] == r[:2])
+        if r[2:4] != first[2:4]:
+            want.add((*r, True))
+        elif any(x[0] == r[0] and x[1] != r[1] for x in rows):
+            want.add((*r, False))
+    for size in (1, 2, 7, 90):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[n : n + size])], names=names) for n in range(0, 90, size)]
+        got = [tuple(r.values()) for b in interval_repeats._repeated_anchors(iter(batches)) for r in b.to_pylist()]
+        alone = {r for r in got if not any(x[0] == r[0] and x[1] != r[1] for x in rows) and not r[5]}
+        assert len(got) == len(set(got)) and set(got) - alone == want
+
+
 def test_anchors_of_long_texts_do_not_depend_on_the_chunks(monkeypatch):
     rng = np.random.default_rng(2)
     raw = rng.integers(97, 101, 20_000).astype(np.uint8)

@@ -4,11 +4,12 @@ The base patterns find well-formed personal data. The random field adds what the
 a phone number without its plus sign or an address with spaces around the @. It scores whole
 candidate segments (type, number of digits, separators, checksum, neighbours) and finds the best
 segmentation of a region by dynamic programming over boundaries and types together; no entity is
-longer than MAX_TOKENS tokens. Regions are stretches of words with a digit or an @ and their
-neighbours; outside them no segment can be an entity, so the split into regions is exact.
+longer than MAX_TOKENS tokens. Every entity holds a digit, an @ or the word "at"; regions reach from
+there as far as a segment and what its features look at, so the split into regions is exact.
 
-The weights are learnt by maximum likelihood on regions of a bounded sample of documents, whose
-labels are the base matches, together with copies in which the matches are written in freer forms.
+The weights are learnt by maximum likelihood on stretches of a bounded sample of documents, whose
+labels are the base matches, together with copies in which the matches are written in freer forms
+and with stretches of prose around the word "at".
 
 Null and empty texts have no spans; repeated rows give repeated results; other columns are not
 read. Base matches always stay, and an added span never overlaps one.
@@ -87,17 +88,19 @@ def ordered(spans: list[Span]) -> list[str]:
 
 # --- regions and candidate segments -------------------------------------------------------
 
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|(?<![^\W_])[aA][tT](?![^\W_])")
+SIGN = re.compile(r"[0-9@]")
+AT = re.compile(r"(?<![^\W_])[aA][tT](?![^\W_])")
 TOKEN = re.compile(r"[^\W_]+|\s+|.", re.S)
 MAIL_FORM = re.compile(r"([a-z0-9._%+-]+(?: [a-z0-9._%+-]+)*?)( ?@ ?| at )([a-z0-9-]+(?:(?: ?[.] ?| dot )[a-z0-9-]+)+)")
 SEPARATORS = frozenset(" -.()/+@_")
 
 
-def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches of words with a digit or an @, with two neighbouring words on either side."""
+def stretches(text: str, trigger: re.Pattern = SIGN) -> list[tuple[int, int]]:
+    """Stretches of words with a trigger and two neighbouring words on either side: what the weights are learnt on."""
     out: list[tuple[int, int]] = []
     size, word_end = len(text), 0
-    for m in TRIGGER.finditer(text):
+    for m in trigger.finditer(text):
         if m.start() < word_end:
             continue
         start, end = m.start(), m.end()
@@ -118,6 +121,46 @@ def regions(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def regions(text: str) -> list[tuple[int, int]]:
+    """Where entities may be, with all the tokens that the features of a segment look at.
+
+    MAX_TOKENS tokens on the left of a trigger and from there to a word of letters, MAX_TOKENS + 1 on its right.
+    """
+    out: list[tuple[int, int]] = []
+    size, token_end = len(text), 0
+    for m in TRIGGER.finditer(text):
+        if m.start() < token_end:
+            continue
+        start, token_end = m.span()
+        if text[start] != "@":
+            while start and text[start - 1].isalnum():
+                start -= 1
+            token_end = TOKEN.match(text, start).end()
+        end = token_end
+        for _ in range(MAX_TOKENS + 1):
+            if end < size:
+                end = TOKEN.match(text, end).end()
+        reached = out[-1][1] if out else 0
+        start = _left_edge(text, start, reached)
+        if out and start <= reached:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((start, end))
+    return out
+
+
+def _left_edge(text: str, at: int, least: int) -> int:
+    """The start of the region of a token at ``at``; ``least`` if it reaches that far."""
+    width = 256
+    while at - width > least:
+        tokens = list(TOKEN.finditer(text, at - width, at))[1:]  # the first may be cut
+        for m in reversed(tokens[: max(0, len(tokens) - MAX_TOKENS + 1)]):
+            if m.group()[0].isalpha():
+                return m.start()
+        width *= 4
+    return least
+
+
 class Region:
     """The tokens of a region and, per token, the entity segments that may start there."""
 
@@ -125,7 +168,15 @@ class Region:
         self.text = text
         self.tokens = [m.span() for m in TOKEN.finditer(text)]
         self.words = [text[a:b] for a, b in self.tokens]
-        self.segments = [self._from(i) for i in range(len(self.tokens))]
+        # no segment without a trigger is an entity
+        trigger, reach = len(self.words) + MAX_TOKENS, []
+        for i in range(len(self.words) - 1, -1, -1):
+            trigger = i if TRIGGER.search(self.words[i]) else trigger
+            reach.append(trigger < i + MAX_TOKENS)
+        self.letters = [-1]  # per token the last word of letters before it
+        for i, word in enumerate(self.words):
+            self.letters.append(i if word[0].isalpha() else self.letters[-1])
+        self.segments = [self._from(i) if near else [] for i, near in enumerate(reversed(reach))]
 
     def _from(self, i: int) -> list[tuple[int, str, tuple[str, ...]]]:
         first = self.words[i]
@@ -205,7 +256,7 @@ class Region:
         numbers = [w for w in self.words[i : j + 1] if w.isdigit() and w.isascii()]
         before = self.words[i - 1] if i else "^"
         after = self.words[j + 1] if j + 1 < len(self.words) else "$"
-        word_before = next((w.lower() for w in reversed(self.words[:i]) if w[0].isalpha()), "^")
+        word_before = self.words[self.letters[i]].lower() if self.letters[i] >= 0 else "^"
         return (
             "bias",
             f"digits={digits}",
@@ -286,7 +337,10 @@ def _free_forms(text: str, span: Span) -> list[tuple[str, Span]]:
         bare = value.lstrip("+")
         forms += [bare, re.sub(r"^[0-9]{1,3}[ .-]+", "", bare), re.sub(r"[ ()]+", "-", bare).strip("-"), bare.replace("-", ".")]
     elif kind == "email":
+        local, _, domain = value.partition("@")
         forms += [value.replace("@", " @ "), value.replace("@", " at "), value.replace("@", " at ").replace(".", " dot ")]
+        short = ".".join(domain.split(".")[-2:])
+        forms += [f"{local}{sign}{d}" for sign in (" at ", " @ ") for d in (domain.replace(".", " dot "), short, short.replace(".", " dot "))]
     elif kind == "card":
         digits = NOT_DIGIT.sub("", value)
         forms += [".".join(digits[n : n + 4] for n in range(0, len(digits), 4)), " - ".join(digits[n : n + 4] for n in range(0, len(digits), 4))]
@@ -316,7 +370,7 @@ def _plain_forms(text: str, span: Span) -> list[str]:
 def training_regions(texts: list[str], limit: int = MAX_REGIONS) -> list[tuple[str, list[Span]]]:
     out, seen = [], set()
     for text in texts:
-        for a, b in regions(text):
+        for a, b in stretches(text):
             part = text[a:b]
             if part in seen or len(part) > 400:
                 continue
@@ -329,7 +383,20 @@ def training_regions(texts: list[str], limit: int = MAX_REGIONS) -> list[tuple[s
                     out += [(t, []) for t in _plain_forms(part, span)]
         if len(out) >= limit:
             break
-    return out
+    return out + prose_regions(texts, limit // 2)
+
+
+def prose_regions(texts: list[str], limit: int) -> list[tuple[str, list[Span]]]:
+    """Stretches around the word "at" without an entity. Those that may be a freer form of an address have no label."""
+    parts: dict[str, None] = {}
+    for text in texts:
+        for a, b in stretches(text, AT):
+            part = text[a:b]
+            if len(part) <= 400 and not SIGN.search(part) and not base_spans(AT.sub("@", part.replace(" dot ", ".")).replace(" @ ", "@")):
+                parts[part] = None
+        if len(parts) >= limit:
+            break
+    return [(part, []) for part in list(parts)[:limit]]
 
 
 def train(texts: list[str], epochs: int = EPOCHS, limit: int = MAX_REGIONS) -> dict[str, float]:
@@ -340,7 +407,9 @@ def train(texts: list[str], epochs: int = EPOCHS, limit: int = MAX_REGIONS) -> d
         starts = {a: i for i, (a, _) in enumerate(region.tokens)}
         ends = {b: i + 1 for i, (_, b) in enumerate(region.tokens)}
         gold = {(starts[s], ends[e], k) for k, s, e in spans if s in starts and e in ends}
-        examples.append((region, gold))
+        # an entity that no segment can be, such as a longer one, would only teach that its parts are none
+        if len(gold) == len(spans) and all((e, k) in {x[:2] for x in region.segments[s]} for s, e, k in gold):
+            examples.append((region, gold))
     weights: dict[str, float] = defaultdict(float)
     for epoch in range(epochs):
         for region, gold in examples:
@@ -362,8 +431,8 @@ def all_spans(text: str, weights: dict[str, float], margin: float = MARGIN) -> t
 
 
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE_DOCUMENTS) -> dict[str, float]:
-    """Weights from the regions of at most ``2 * sample`` documents with a digit or an @."""
-    with_trigger = bounded_sample(docs.select(key, text), key, sample).filter(f"`{text}` rlike '[0-9@]'")
+    """Weights from the stretches of at most ``2 * sample`` documents with a digit, an @ or the word "at"."""
+    with_trigger = bounded_sample(docs.select(key, text), key, sample).filter(F.col(f"`{text}`").rlike(r"[0-9@]|\b[aA][tT]\b"))
     return train([r[1] for r in collected(with_trigger)])
 
 

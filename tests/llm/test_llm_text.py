@@ -116,6 +116,29 @@ def test_the_field_adds_free_forms_and_leaves_plain_numbers(texts):
     assert personal_data.masked("to bob@example.com, now", weights) == "to <email>, now"
 
 
+def test_regions_hide_nothing_from_the_field(spark, texts):
+    weights = personal_data.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+    def whole(text):
+        region = personal_data.Region(text)
+        found = [(k, region.tokens[i][0], region.tokens[j - 1][1]) for i, j, k in personal_data.best_segmentation(region, weights)]
+        return [f for f in found if all(f[2] <= s or e <= f[1] for _, s, e in personal_data.base_spans(text))]
+
+    prose = "Please write to them, since nobody in this office knows, at noon. Then ask "
+    values = {"phone": "+1 (017) 555-7713", "email": "jane@mail.example.com", "card": "4111 1111 1111 1111", "ip": "10.20.30.40"}
+    forms = [t for kind, v in values.items() for t, _ in personal_data._free_forms(v, (kind, 0, len(v)))]
+    forms += ["jane at example dot com", "bob @ mail dot example dot com", "x1 9 " * 30, "at " * 40]
+    for form in forms:
+        for text in (form, prose + form + " and wait for some days until an answer comes. " + prose, "7 " * 20 + form + " ..." * 9 + " 5" * 20):
+            assert personal_data.all_spans(text, weights)[1] == whole(text), text
+    for text in texts.values():
+        assert personal_data.all_spans(text, weights)[1] == whole(text)
+    for form in ("jane at example dot com", "bob @ mail dot example dot com"):
+        text = "Please ask " + form + ", who knows"
+        assert personal_data.masked(text, weights) == "Please ask <email>, who knows"
+    assert personal_data.all_spans("They stayed at home. Then it rained", weights) == ([], [])
+
+
 def test_added_spans_never_touch_base_ones(texts):
     weights = personal_data.train([texts[d] for d in sorted(texts)])
     for text in texts.values():

@@ -32,7 +32,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """The documents without any window of a benchmark item."""
     short_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return docs.filter(~decontamination.is_contaminated(docs["text"], spark, items))
+    return decontamination.uncontaminated(docs, items)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -235,6 +235,27 @@ def test_hits_equal_the_plain_ones_in_one_and_in_many_blocks(spark):
     assert decontamination.find_contamination(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_blocks_are_bounded_and_items_may_lack_an_id(spark, monkeypatch):
+    words = [f"word{n}" for n in range(60)]
+    items = [(None, " ".join(words[:12])), (1, " ".join(words[5:30])), (2, " ".join(words)), (None, "short one"), (7, "a b")]
+    texts = [" ".join(words[2:14]), " ".join(words[20:31]), "Short ONE and a b", " ".join(words), None, "nothing", " ".join(words[2:14])]
+    docs = spark.createDataFrame([(n % 6, t) for n, t in enumerate(texts)] + [(None, "a b")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = lambda most: sorted((tuple(r) for r in decontamination.find_contamination(docs, bench, max_bytes=most).collect()), key=repr)
+    one = found(10_000)
+    for r in one:
+        if r[0] is not None:
+            n_words, n_hit, n_items, _, hit = plain_hits(texts[r[0]], items)
+            assert r[1:4] == (n_words, n_hit, n_items) and r[5] == hit
+    sizes = []
+    built = decontamination.scanner
+    monkeypatch.setattr(decontamination, "scanner", lambda s, b, w: (sizes.append(sum(len(t) for _, t in b)), built(s, b, w))[1])
+    assert found(150) == one
+    assert len(sizes) > 3 and max(sizes) <= 250  # a piece has the words of its last window besides
+    clean = [r.text for r in decontamination.uncontaminated(docs, bench, max_bytes=150).collect()]
+    assert sorted(map(str, clean)) == ["None", "nothing"]
+
+
 def test_spans_are_code_points_of_the_original():
     automata = [decontamination.automaton_of(decontamination.windows_of([(7, "naïve Café")]))]
     text = "Ωmega,  NAïVE -- CAFé!"

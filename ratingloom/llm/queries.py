@@ -11,12 +11,15 @@ from ratingloom.llm import (
     compression_bands,
     decontamination,
     dom_extraction,
+    filter_audit,
     interval_repeats,
     minmax_dedup,
     ordinal_toxicity,
     personal_data,
     prefix_viterbi,
+    tier_packing,
     warc_chain,
+    word_runs,
 )
 from ratingloom.llm.common import documents, pages
 from ratingloom.session import shared_folder
@@ -159,3 +162,54 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_interval_repeats")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interval_repeats.remove_repeats(documents(spark, sf_dir)).drop("removed")
+
+
+AUDIT_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t
+), said AS (SELECT doc_id, max(quality) AS q, max(toxic) AS x FROM labels GROUP BY doc_id
+), flags AS (
+  SELECT d.part, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN d.doc_id > first THEN 'E' ELSE '' END AS fails,
+    coalesce(q = 1, false) AS good, coalesce(x = 1, false) AS bad
+  FROM d JOIN firsts USING (t) LEFT JOIN said ON said.doc_id = d.doc_id
+), masks AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE bad) AS x FROM flags GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), grown AS (
+  SELECT '' AS filter_order UNION ALL SELECT filter_order || letter FROM grown, letters WHERE NOT contains(filter_order, letter)
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS earlier
+  FROM grown, unnest(range(1, 6)) AS s(step) WHERE length(filter_order) = 5
+), placed AS (
+  SELECT part, filter_order, step, f, fails, n, g, x, contains(fails, f) AS own, regexp_matches(fails, '[' || earlier || '-]') AS gone
+  FROM masks, steps
+), counted AS (
+  SELECT part, filter_order, step, f, CAST(coalesce(sum(n) FILTER (WHERE NOT own AND NOT gone), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE own AND NOT gone), 0) AS BIGINT) AS removed, CAST(coalesce(sum(n) FILTER (WHERE own AND gone), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE fails = f), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(g) FILTER (WHERE own AND NOT gone), 0) AS BIGINT) AS good_lost, CAST(coalesce(sum(x) FILTER (WHERE own AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op12_tier_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tier_packing.pack_documents(documents(spark, sf_dir))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.digests(word_runs.find_runs(documents(spark, sf_dir), prepare=word_runs.planted))

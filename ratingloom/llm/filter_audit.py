@@ -213,19 +213,13 @@ def interactions(counts: DataFrame, letters: Sequence[str]) -> DataFrame:
         )
         for f in range(len(letters))
     ]
-    steps = [
-        F.struct(
-            F.lit("".join(letters[f] for f in order)).alias("filter_order"),
-            F.lit(step).alias("step"),
-            F.lit(order[step - 1]).alias("f"),
-            F.lit(1 << order[step - 1]).alias("alone"),
-            F.lit(sum(1 << f for f in order[: step - 1])).alias("before"),
-            F.lit(sum(1 << f for f in order[:step])).alias("after"),
-        )
+    steps = ", ".join(
+        f"named_struct('filter_order', '{''.join(letters[f] for f in order)}', 'step', {step}, 'f', {order[step - 1]}, "
+        f"'alone', {1 << order[step - 1]}, 'before', {sum(1 << f for f in order[: step - 1])}, 'after', {sum(1 << f for f in order[:step])})"
         for order in orders
         for step in range(1, len(letters) + 1)
-    ]
-    rows = held.select("*", F.array(*value).alias("shapley")).select("*", F.explode(F.array(*steps)).alias("s"))
+    )
+    rows = held.select("*", F.array(*value).alias("shapley")).select("*", F.explode(F.expr(f"array({steps})")).alias("s"))
     get = lambda c, at: F.get(F.col(c), at)
     removed = get("pass_n", F.col("s.before")) - get("pass_n", F.col("s.after"))
     alone = F.col("s.alone")

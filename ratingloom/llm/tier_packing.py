@@ -15,16 +15,18 @@ Packed rows are written once to the shared folder, so a lost executor repeats si
 
 Null and empty texts hold the end token alone, so that every row has at least one piece. Rows with a
 null or repeated doc_id are packed like all others; extra columns are not read; an empty table gives
-an empty result. A very long text is tokenised in stretches of about ``CHUNK_CHARS`` characters cut at
-white space, which separates tokens. Equal texts and ties in length are taken in the order of the rows.
+an empty result. Texts are tokenised piece by piece, so a very long one costs its pieces and ids and
+no more. Equal texts and ties in length are taken in the order of the rows.
 """
 
 from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +42,8 @@ END_ID = 1
 ROUND_TOKENS = 1 << 20
 STEP_TOKENS = 1 << 16
 TASKS_PER_REST = 64
-CHUNK_CHARS = 1 << 18
-ROWS_PER_CALL = 128
+CACHE_PIECES = 500_000
 REST_SEQUENCES = 1 << 62  # sequence and group numbers of the packed rests lie above
-SPACES = (" ", "\n", "\t", "\r")
 
 PIECE = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -51,41 +51,54 @@ PIECE = (
 )
 
 
-def stretches(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
-    """The text cut before white space into stretches of about ``size`` characters."""
-    start = 0
-    while len(text) - start > size:
-        ends = [n for n in (text.find(s, start + size) for s in SPACES) if n >= 0]
-        if not ends:
-            break
-        yield text[start : min(ends)]
-        start = min(ends)
-    yield text[start:]
+# How the tokenizer file cuts lower-cased text, for the letters of PLAIN.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\s0-9a-z\u00df-\u00f6\u00f8-\u00ff]+", re.A)
+PLAIN = re.compile("[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*", re.A)
+MARK = "<|"  # special tokens of the file begin so
 
 
-def tokenize(path: str, end_id: int = END_ID) -> Callable[[list[str | None]], list[np.ndarray]]:
-    """A function from texts to their ids as the tokenizer of file ``path`` gives them, then ``end_id``."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+class Words:
+    """Texts to ids, piece by piece: the tokenizer of file ``path`` never joins anything across its pieces.
 
-    tokenizer = Tokenizer.from_file(path)
-
-    def run(texts: list[str | None]) -> list[np.ndarray]:
-        out = []
-        for at in range(0, len(texts), ROWS_PER_CALL):
-            parts, sizes = [], []
-            for text in texts[at : at + ROWS_PER_CALL]:
-                cut = list(stretches(text)) if text else []
-                parts += cut
-                sizes.append(len(cut))
-            ids = [e.ids for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-            place = 0
-            for size in sizes:
-                out.append(np.array([n for part in ids[place : place + size] for n in part] + [end_id], np.uint32))
-                place += size
-        return out
+    Texts of ASCII and Latin-1 letters are cut here, and the ids of recent pieces remembered; other
+    words go to the tokenizer as they are. White space separates pieces, so that words can be taken one
+    by one. Equal to encoding the whole text.
+    """
 
-    return run
+    def __init__(self, path: str, end_id: int = END_ID):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.end = np.array([end_id], "<u4").tobytes()
+        self.known: dict[str, bytes] = {}
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        pieces, known = PIECES.findall(text.lower()), self.known
+        distinct = set(pieces)
+        if len(known) + len(distinct) > CACHE_PIECES:
+            known.clear()
+        for piece in distinct:
+            if piece not in known:
+                if piece.isascii() and piece.isalpha():
+                    known[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+                else:
+                    known[piece] = self._encoded(piece)
+        return b"".join(map(known.__getitem__, pieces))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        text = text or ""
+        if MARK not in text and PLAIN.fullmatch(text):
+            ids = self._plain(text)
+        else:
+            # bytes.split() splits at ASCII white space only
+            words = [w.decode() for w in text.encode().split()]
+            ids = b"".join(self._plain(w) if MARK not in w and PLAIN.fullmatch(w) else self._encoded(w) for w in words)
+        return np.frombuffer(ids + self.end, "<u4")
 
 
 class Pool:
@@ -236,7 +249,7 @@ def pack_documents(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(placed)
-        encode = tokenize(tokenizer, end_id)
+        encode = Words(tokenizer, end_id)
         numbered = Numbered(TaskContext.get().partitionId() << 32)
         held: list[tuple] = []
         tokens = 0
@@ -248,11 +261,10 @@ def pack_documents(
 
         for piece in slices(batches):
             keys, texts = piece.column(0).to_pylist(), piece.column(1).to_pylist()
-            for start in range(0, len(texts), ROWS_PER_CALL):
-                part = slice(start, start + ROWS_PER_CALL)
-                for k, ids in zip(keys[part], encode(texts[part])):
-                    held.append(((k, len(ids)), 0, ids))
-                    tokens += len(ids)
+            for k, text_of in zip(keys, texts):
+                ids = encode(text_of)
+                held.append(((k, len(ids)), 0, ids))
+                tokens += len(ids)
                 if tokens >= round_tokens:
                     yield packed_round()
                     tokens = sum(len(ids) for _, _, ids in held)

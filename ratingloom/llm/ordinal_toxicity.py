@@ -7,10 +7,15 @@ Features are words and word beginnings, with the logarithm of their counts as va
 The labels only say toxic or not. Toxic training texts are graded 1 to GRADES by the number of
 strongly associated words they hold, cut at equal shares of the toxic texts; others are grade 0.
 
+Only features whose log-odds between toxic and clean texts are far from 0 by their standard error
+are used, so that words common to all texts cannot stand in for the thresholds. The thresholds are
+held by one more training text: the text without any feature, clean, with a weight of ``NEUTRAL``
+of the sample.
+
 The model is fitted on a bounded sample of labelled documents (``sample``, never more than twice
-that many) and applied to every text. Null and empty texts have severity by the thresholds alone,
-which is low; rows without label are scored like all others; extra columns are not read. Without
-any toxic or any clean training text nothing is rejected.
+that many) and applied to every text. Null and empty texts, and texts without any feature of the
+model, have severity by the thresholds alone, which is low, and are never rejected. Rows without label are scored like all
+others; extra columns are not read. Without any toxic or any clean training text nothing is rejected.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ GRADES = 3
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 MIN_TEXTS = 4  # toxic sample texts that must hold a feature
 MAX_FEATURES = 4_000
+MIN_Z = 3.0  # log-odds of a feature over their standard error
+NEUTRAL = 0.5  # weight of the text without features, as a share of the sample
 STRONG = 2.5  # log-odds of a strongly associated feature
 REJECT_AT = 0.3  # probability of grade 1 or more
 CACHE_WORDS = 100_000
@@ -83,6 +90,11 @@ def train(rows: list[tuple[str | None, int | None]], grades: int = GRADES, steps
         f: math.log((a + 0.1) / (n_toxic - a + 0.5)) - math.log((clean[f] + 0.1) / (len(rows) - n_toxic - clean[f] + 0.5))
         for f, a in toxic.items()
     }
+    error_of = {
+        f: math.sqrt(1 / (a + 0.5) + 1 / (n_toxic - a + 0.5) + 1 / (clean[f] + 0.5) + 1 / (len(rows) - n_toxic - clean[f] + 0.5))
+        for f, a in toxic.items()
+    }
+    odds = {f: x for f, x in odds.items() if abs(x) >= MIN_Z * error_of[f]}
     # features that say something about the label, strongest evidence first
     ranked = sorted(odds, key=lambda f: (-abs(odds[f]) * math.sqrt(toxic[f]), f))[:MAX_FEATURES]
     place = {f: n for n, f in enumerate(ranked)}
@@ -115,7 +127,8 @@ def train(rows: list[tuple[str | None, int | None]], grades: int = GRADES, steps
         p = 1 / (1 + np.exp(-np.clip(score[:, None] - cut[None, :], -40, 40)))
         error = (p - above) / n_rows
         grad_w = np.bincount(c, weights=v * error.sum(1)[r], minlength=n_cols) + l2 * w
-        grad = np.concatenate([grad_w, -error.sum(0)])
+        neutral = NEUTRAL / (1 + np.exp(np.clip(cut, -40, 40)))
+        grad = np.concatenate([grad_w, -error.sum(0) - neutral])
         m1 = 0.9 * m1 + 0.1 * grad
         m2 = 0.999 * m2 + 0.001 * grad * grad
         parameters = parameters - 0.05 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
@@ -146,7 +159,7 @@ class Scorer:
         score = math.fsum(weights[f] * math.log1p(n) for f, n in counts.items())
         p = [1 / (1 + math.exp(-max(-40.0, min(40.0, score - cut)))) for cut in self.model.thresholds]
         severity = sum(p)
-        toxic = p[0] >= self.reject_at
+        toxic = bool(counts) and p[0] >= self.reject_at
         return severity, p[0], max(int(toxic), sum(x >= 0.5 for x in p)), toxic
 
 

@@ -2,7 +2,10 @@
 
 import hashlib
 import re
+import time
+from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 import zstandard
@@ -286,6 +289,17 @@ def test_odd_texts_have_the_ids_of_the_library(library):
         assert same
 
 
+def test_long_runs_of_spaces_take_no_square_time(library):
+    vocab = prefix_viterbi.vocabulary()
+    for text in ("a" + " " * 1_000 + "b", " " * 777, "x  y   z" + " " * 333 + "▁▁ ", "ab" * 40 + "   " + "é" * 30):
+        words = prefix_viterbi.marked_words(text)
+        ids = prefix_viterbi.encode_words(set(words), vocab)
+        assert [i for w in words for i in np.frombuffer(ids[w], np.int32)] == library.encode(text)
+    begun = time.time()
+    long = prefix_viterbi.encode_words({"▁" * 1_000_000}, vocab)
+    assert time.time() - begun < 30 and len(long["▁" * 1_000_000]) == 4 * 1_000_000 // 16
+
+
 def test_common_prefixes_share_their_states():
     vocab = prefix_viterbi.vocabulary()
     words = sorted({"▁internation", "▁international", "▁internationally", "▁intern"})
@@ -332,6 +346,41 @@ def test_thresholds_are_ordered_and_severity_grows():
     assert not ordinal_toxicity.Scorer(ordinal_toxicity.train([("a", 1)]))("a")[3]
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_neutral_texts_are_never_rejected(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    model = ordinal_toxicity.fit(docs, spark.read.parquet(f"/root/testdata/sf{sf}/labels.parquet"))
+    score = ordinal_toxicity.Scorer(model)
+    neutral = [None, "", " ", "12345", "Buy now", "Guten Tag zusammen", "The meeting is on Monday at ten.", "words", "\U0001f600"]
+    assert [t for t in neutral if score(t)[3]] == []
+    assert score("")[1] < 0.2 and score("")[0] < 0.5 and score("")[2] == 0
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(neutral)], "doc_id long, text string")
+    assert rows.filter(~ordinal_toxicity.is_toxic(rows["text"], model)).count() == len(neutral)
+
+
+def plain_severity(model, text):
+    """The cumulative-link formula from all features of the text, without any cache."""
+    counts = Counter()
+    for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        counts.update([word + "$", *[word[:n] for n in (3, 4, 5, 6, 7, 8) if n <= len(word)]])
+    known = [f for f in counts if f in model.features]
+    score = sum(model.features[f] * np.log1p(counts[f]) for f in known)
+    p = [1 / (1 + np.exp(-np.clip(score - cut, -40, 40))) for cut in model.thresholds]
+    toxic = bool(known) and p[0] >= ordinal_toxicity.REJECT_AT
+    return sum(p), p[0], max(int(toxic), sum(x >= 0.5 for x in p)), toxic
+
+
+def test_scores_equal_the_formula(spark, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = ordinal_toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = ordinal_toxicity.score_toxicity(docs, model, keep=("doc_id", "text")).collect()
+    assert len(rows) == docs.count() and any(r.toxic for r in rows)
+    for r in rows:
+        severity, p, grade, toxic = plain_severity(model, r.text)
+        assert r.expected_severity == pytest.approx(severity, abs=1e-9) and r.p_toxic == pytest.approx(p, abs=1e-9)
+        assert (r.grade, r.toxic) == (grade, toxic)
+
+
 def test_samples_are_bounded(spark):
     df = spark.range(5_000).withColumnRenamed("id", "doc_id")
     assert 60 < bounded_sample(df, "doc_id", 100).count() <= 200

@@ -23,6 +23,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import ahocorasick
@@ -57,18 +58,28 @@ class Vocabulary:
     automaton: ahocorasick.Automaton = field(default_factory=ahocorasick.Automaton)
 
     def merge(self, text: str) -> list[str]:
-        """Pieces of ``text`` by the rule itself: the best-scored neighbouring pair first, leftmost on ties."""
-        parts, rank = list(text), self.rank
-        while len(parts) > 1:
-            best, at = None, -1
-            for n in range(len(parts) - 1):
-                r = rank.get(parts[n] + parts[n + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, n
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        """Pieces of ``text`` by the rule itself: the best-scored neighbouring pair first, leftmost on ties.
+
+        Neighbours are linked and the pairs wait in a heap, so that a long word takes n log n steps.
+        """
+        rank, parts, end = self.rank, list(text), len(text)
+        before, after = list(range(-1, end - 1)), list(range(1, end + 1))
+        due = [(r, n, n + 1, parts[n] + parts[n + 1]) for n in range(end - 1) if (r := rank.get(parts[n] + parts[n + 1])) is not None]
+        heapify(due)
+        while due:
+            _, left, right, piece = heappop(due)
+            # a pair that was broken up since: one side has grown or gone
+            if after[left] != right or parts[left] + parts[right] != piece or not parts[right]:
+                continue
+            parts[left], parts[right] = piece, ""
+            far = after[left] = after[right]
+            if far < end:
+                before[far] = left
+                if (r := rank.get(piece + parts[far])) is not None:
+                    heappush(due, (r, left, far, piece + parts[far]))
+            if (near := before[left]) >= 0 and (r := rank.get(parts[near] + piece)) is not None:
+                heappush(due, (r, near, left, parts[near] + piece))
+        return [p for p in parts if p]
 
     def _last_merge(self, piece: str) -> tuple[str, str] | None:
         """The two pieces joined last when ``piece`` is built, None if the rules never build it."""

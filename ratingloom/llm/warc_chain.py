@@ -37,6 +37,8 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_BYTES = 0
+NESTED = 8  # payloads hashed at a time in one stretch
+REGION = 1 << 20  # bytes by which pieces and records meet when records are read again
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -95,31 +97,59 @@ def _page(name: str | None) -> int | None:
     return int(digits) if digits.lstrip("-").isdigit() else None
 
 
+class _Payload:
+    """Length and digest of a record's payload: what follows the inner header of a block of ``length`` bytes."""
+
+    def __init__(self, place: int, length: int):
+        self.place, self.left = place, length
+        self.head: bytes | None = b""  # until the inner header has ended
+        self.size, self.digest = 0, hashlib.sha1()
+
+    def add(self, piece: bytes) -> None:
+        piece = piece[: max(0, self.left)]
+        self.left -= len(piece)
+        if self.head is not None:
+            self.head += piece
+            end = self.head.find(HEADER_END)
+            if end < 0:
+                return
+            piece, self.head = self.head[end + len(HEADER_END) :], None
+        self.size += len(piece)
+        self.digest.update(piece)
+
+    def result(self) -> list:
+        return [self.size, base64.b32encode(self.digest.digest()).decode()]
+
+
 class _Stretch:
-    """The candidates of one stretch of a file, in order of their offsets."""
+    """The candidates of one stretch of a file, in order of their offsets.
+
+    Payloads that go on after a magic are hashed as their bytes come, at most NESTED of them at a time:
+    of candidates nested deeper most are bytes of a payload and no records. The few that are records
+    are read again later, like those that reach into the next stretch.
+    """
 
     def __init__(self, file: str, block: int):
         self.file, self.block = file, block
         self.size = 0  # bytes of the pieces so far, from the first piece of the stretch
         self.found: list[list] = []
-        self.open: list[tuple[int, list[bytes], int]] = []  # payloads that go on after a magic: place, parts, bytes wanted
+        self.open: list[_Payload] = []
         self.first = block == 0  # what stands before the first magic of a file is no candidate
 
     def add(self, piece: bytes) -> None:
-        for _, parts, _ in self.open:
-            parts += [MAGIC.encode(), piece]
+        for payload in self.open:
+            payload.add(MAGIC.encode())
+            payload.add(piece)
         start, self.size = self.size - len(MAGIC), self.size + len(piece) + len(MAGIC)
         if self.first:
             self.first = False
         else:
             self._candidate(start, piece)
-        still = []
-        for place, parts, wanted in self.open:
-            if sum(map(len, parts)) >= wanted:
-                self._payload(place, b"".join(parts)[:wanted])
-            else:
-                still.append((place, parts, wanted))
-        self.open = still
+        if any(payload.left <= 0 for payload in self.open):
+            for payload in self.open:
+                if payload.left <= 0:
+                    self.found[payload.place][7:9] = payload.result()
+            self.open = [payload for payload in self.open if payload.left > 0]
 
     def _candidate(self, start: int, piece: bytes) -> None:
         end = piece.find(HEADER_END)
@@ -137,11 +167,10 @@ class _Stretch:
             fields.get("warc-payload-digest", "").removeprefix("sha1:"), int(known) if known.isascii() and known.isdigit() and len(known) < 16 else None,
             None, None, start + len(MAGIC) + body, length,
         ])
-        self.open.append((len(self.found) - 1, [piece[body:]], length))
-
-    def _payload(self, place: int, block: bytes) -> None:
-        payload = block.partition(HEADER_END)[2]
-        self.found[place][7:9] = [len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()]
+        if len(self.open) < NESTED or len(piece) - body >= length:
+            payload = _Payload(len(self.found) - 1, length)
+            payload.add(piece[body:])
+            self.open.append(payload)
 
     def rows(self) -> Iterator[tuple]:
         """(file, block, size, ..., exit, first, last): a row without start holds the size alone."""
@@ -234,7 +263,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     whole = records.filter("payload_digest is not null").select("page_id", "type", "refers", "digest", "told_bytes", "payload_bytes", "payload_digest")
     torn = durable(records.filter("payload_digest is null").select("file", "body", "length", "page_id", "type", "refers", "digest", "told_bytes"))
     if not torn.isEmpty():
-        whole = whole.union(_torn_records(spark, torn))
+        whole = whole.union(_torn_records(pieces, durable(bases), torn))
     revisit = F.col("type") == "revisit"
     return whole.select(
         "page_id",
@@ -246,26 +275,61 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _torn_records(spark: SparkSession, torn: DataFrame) -> DataFrame:
-    """Records with a magic in the payload that also lie across two stretches: read from the whole file."""
-    files = [r.file for r in torn.select("file").distinct().toLocalIterator()]
-    parts = None
-    for start in range(0, len(files), 1_000):
-        some = spark.read.format("binaryFile").load(files[start : start + 1_000]).select(F.col("path").alias("file"), "content")
-        parts = some if parts is None else parts.union(some)
-    body = F.substring("content", F.col("body").cast("int") + 1, F.col("length").cast("int"))
-    blocks = torn.join(parts, "file").select(*[c for c in torn.columns if c not in ("file", "body", "length")], body.alias("b"))
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, block, offset in the stretch, value) of every piece, the magic before it included."""
+    stretch, size = None, 0
+    for piece in slices(batches):
+        offsets, values = [], piece.column(0).to_pylist()
+        for value, file, block in zip(values, piece.column(1).to_pylist(), piece.column(2).to_pylist()):
+            if (file, block) != stretch:
+                stretch, size = (file, block), 0
+            offsets.append(size)
+            size += len(value) + len(MAGIC)
+        ends = pa.array([v + MAGIC.encode() for v in values], pa.binary())  # the magic that ended the piece
+        yield pa.RecordBatch.from_arrays([piece.column(1), piece.column(2), pa.array(offsets, pa.int64()), ends], names=["file", "block", "at", "value"])
+
+
+def _torn_records(pieces: DataFrame, bases: DataFrame, torn: DataFrame) -> DataFrame:
+    """Records whose payload no stretch hashed: their bytes come from the pieces that overlap them.
+
+    Pieces and records meet by regions of the file. The parts of a record are sorted by offset and
+    hashed as they come, so neither a file nor a record is ever one row.
+    """
+    told = ["page_id", "type", "refers", "digest", "told_bytes"]
+    regions = lambda first, last: F.explode(F.sequence(F.floor(first / REGION), F.floor(last / REGION)))
+    records = torn.withColumn("region", regions(F.col("body"), F.col("body") + F.col("length")))
+    laid = pieces.mapInArrow(_placed, "file string, block long, at long, value binary").join(F.broadcast(bases), ["file", "block"])
+    laid = laid.select("file", (F.col("at") + F.col("base")).alias("at"), "value")
+    laid = laid.withColumn("region", regions(F.col("at"), F.col("at") + F.octet_length("value")))
+    begin = F.greatest("at", "body")
+    end = F.least(F.col("at") + F.octet_length("value"), F.col("body") + F.col("length"))
+    part = F.substring("value", (begin - F.col("at") + 1).cast("int"), (end - begin).cast("int"))
+    parts = (
+        laid.join(records, ["file", "region"])
+        .where(end > begin)
+        .where(F.col("region") == F.floor(begin / REGION))  # each overlap once
+        .select("file", "body", "length", begin.alias("at"), part.alias("part"), *told)
+        .repartition("file", "body")
+        .sortWithinPartitions("file", "body", "at")
+    )
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+    names = [*told, "payload_bytes", "payload_digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record, payload, kept = None, None, ()
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([*kept, *payload.result()], kinds)], names=names)
         for piece in slices(batches, 16):
-            payloads = [b.partition(HEADER_END)[2] for b in piece.column(5).to_pylist()]
-            digests = [base64.b32encode(hashlib.sha1(p).digest()).decode() for p in payloads]
-            yield pa.RecordBatch.from_arrays(
-                [*(piece.column(n) for n in range(5)), pa.array(list(map(len, payloads)), pa.int64()), pa.array(digests, pa.string())],
-                names=["page_id", "type", "refers", "digest", "told_bytes", "payload_bytes", "payload_digest"],
-            )
-
-    return blocks.mapInArrow(run, "page_id long, type string, refers long, digest string, told_bytes long, payload_bytes long, payload_digest string")
+            columns = [piece.column(n).to_pylist() for n in range(10)]
+            for file, body, length, _, data, *rest in zip(*columns):
+                if (file, body) != record:
+                    if record is not None:
+                        yield batch()
+                    record, payload, kept = (file, body), _Payload(0, length), rest
+                payload.add(data)
+        if record is not None:
+            yield batch()
+
+    return parts.mapInArrow(run, "page_id long, type string, refers long, digest string, told_bytes long, payload_bytes long, payload_digest string")
 
 
 def round_trip(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> DataFrame:

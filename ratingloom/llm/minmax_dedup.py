@@ -13,7 +13,8 @@ passes on at most one link per document. The components of those exact links are
 With 44 bands of 7 values a pair at 0.85 is missed with a probability of 4e-8; all others less.
 
 Null texts and texts without words have no set and are linked with nothing. Rows that share a
-doc_id are one document with the text of the largest set digest; a null doc_id has no component.
+doc_id are one document with the text of the largest set digest, the only one that is compared; a
+null doc_id has no component.
 Extra columns are not read; an empty table gives an empty table.
 """
 
@@ -94,6 +95,10 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return _mixed(keys)
 
 
+def _digest(packed: bytes) -> str:
+    return hashlib.blake2b(packed, digest_size=16).hexdigest()
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for piece in slices(batches):
@@ -101,7 +106,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text in piece.column(1).to_pylist():
                 hashes = shingle_hashes(text)
                 sizes.append(len(hashes))
-                digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).hexdigest())
+                digests.append(_digest(hashes.tobytes()))
                 if len(hashes):
                     keys.append(band_keys(hashes).view(np.int64))
                 offsets.append(offsets[-1] + (BANDS if len(hashes) else 0))
@@ -157,12 +162,13 @@ def similar_within(sets: list[np.ndarray], percent: int = SIMILAR_PERCENT) -> li
 
 def _sets_of(among: Callable[[np.ndarray], np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(doc_id, slot, text) to the sets of the documents that may be wanted."""
+        """(doc_id, slot, text) to the sets, and their digests, of the documents that may be wanted."""
         with np.errstate(over="ignore"):
             for piece in slices(batches):
                 piece = piece.filter(pa.array(among(piece.column(1).to_numpy(zero_copy_only=False))))
                 sets = [shingle_hashes(t).tobytes() for t in piece.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
+                digests = [_digest(s) for s in sets]
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(digests, pa.string()), pa.array(sets, pa.binary())], names=["doc_id", "digest", "set"])
 
     return run
 
@@ -183,6 +189,8 @@ def _links_of_cells(percent: int):
                 if (g, c, x, y) != cell:
                     out += finish()
                     cell, ids, sets = (g, c, x, y), [], []
+                elif doc == ids[-1]:
+                    continue  # a repeated row
                 ids.append(doc)
                 sets.append(np.frombuffer(packed, np.uint64))
             if out:
@@ -204,7 +212,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     signed = durable(one)
     with_set = signed.filter("n > 0 and doc_id is not null")
     classes = durable(with_set.groupBy("digest").agg(F.min("doc_id").alias("class_id")))
-    firsts = durable(with_set.join(classes, "digest").filter("doc_id = class_id").select("doc_id", "n", "bands"))
+    firsts = durable(with_set.join(classes, "digest").filter("doc_id = class_id").select("doc_id", "n", "digest", "bands"))
 
     keyed = firsts.select(F.explode("bands").alias("band"), "doc_id")
     buckets = durable(keyed.groupBy("band").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("band", "first"))
@@ -213,16 +221,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
 
     # sets of sizes further apart than the wanted similarity cannot be linked: only neighbouring size classes meet
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent)) + 1e-9).cast("int")
-    members = durable(groups.join(firsts.select("doc_id", "n"), groups["node"] == firsts["doc_id"]).select(F.col("root").alias("grp"), size_class.alias("cls"), "doc_id", "n"))
+    members = durable(groups.join(firsts.select("doc_id", "n", "digest"), groups["node"] == firsts["doc_id"]).select(F.col("root").alias("grp"), size_class.alias("cls"), "doc_id", "digest", "n"))
     weight = members.groupBy("grp", "cls").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("c"))
     blocks = durable(weight.groupBy("grp").agg(F.max(F.greatest(F.ceil(F.col("w") / BLOCK_SHINGLES), F.ceil(F.col("c") / BLOCK_DOCUMENTS))).cast("int").alias("blocks")))
     placed = durable(
-        members.join(blocks, "grp").select("grp", "cls", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id")
+        members.join(blocks, "grp").select("grp", "cls", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id", "digest")
     )
     # few documents are in a group: the texts of the others stay where they are
     slot, among = member_bitmap(placed, "doc_id")
     wanted = rows.filter("doc_id is not null").select("doc_id", slot(F.col("doc_id")).alias("slot"), "text")
-    sets = wanted.mapInArrow(_sets_of(among), "doc_id long, set binary").join(placed, "doc_id")
+    # rows that share a doc_id may hold other texts: only the one that was signed takes part
+    sets = wanted.mapInArrow(_sets_of(among), "doc_id long, digest string, set binary").join(placed, ["doc_id", "digest"])
     # a cell (cls, x, y) compares block x of a class with block y of the same and of the next class
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     cell = lambda c, x, y: F.struct(c.alias("cls"), x.alias("x"), y.alias("y"))
@@ -255,11 +264,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
 def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = SIMILAR_PERCENT) -> DataFrame:
     """The rows of ``docs`` without near-duplicates, all columns as they were.
 
-    One row per component stays, of rows that share its doc_id the one with the largest text; rows
-    with a null doc_id, which have no component, all stay.
+    One row per component stays. Of rows that share a doc_id the one with the largest text is judged; one
+    row of each other text of that id stays unjudged, so that no text is lost to its id. Rows with a
+    null doc_id, which have no component, all stay.
     """
-    named = docs.filter(docs[key].isNotNull())
-    kept = near_duplicates(named, text, key, percent).filter("kept").select(F.col("doc_id").alias("__kept_id"))
-    stay = named.join(kept, named[key] == F.col("__kept_id"), "left_semi")
-    number = F.row_number().over(Window.partitionBy(F.col(key)).orderBy(F.col(text).desc_nulls_last()))
-    return stay.withColumn("__nth_row", number).filter("__nth_row = 1").drop("__nth_row").union(docs.filter(docs[key].isNull()))
+    mark = "".join(docs.columns) + "_"  # longer than any column's name
+    repeated = durable(docs.filter(docs[key].isNotNull()).groupBy(docs[key].alias(mark)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(mark))
+    single = docs.filter(docs[key].isNotNull()).join(repeated, docs[key] == repeated[mark], "left_anti")
+    if repeated.isEmpty():
+        judged, rest = single, docs.filter(docs[key].isNull())
+    else:
+        several = docs.join(repeated, docs[key] == repeated[mark], "left_semi")
+        nth = F.dense_rank().over(Window.partitionBy(key).orderBy(F.col(text).desc_nulls_last()))
+        copy = F.row_number().over(Window.partitionBy(key, text).orderBy(F.lit(0)))
+        texts = several.withColumn(mark, nth).withColumn(mark + "_", copy).filter(F.col(mark + "_") == 1).drop(mark + "_")
+        texts = durable(texts)
+        judged = single.union(texts.filter(F.col(mark) == 1).drop(mark))
+        rest = texts.filter(F.col(mark) > 1).drop(mark).union(docs.filter(docs[key].isNull()))
+    kept = near_duplicates(judged, text, key, percent).filter("kept").select(F.col("doc_id").alias(mark))
+    return judged.join(kept, judged[key] == kept[mark], "left_semi").union(rest)

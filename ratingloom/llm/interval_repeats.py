@@ -9,8 +9,8 @@ equal windows have their anchor at the same place and meet under its hash.
 Per anchor hash the suffixes that follow it are sorted, the lengths of the common prefixes of
 neighbours are scanned with a stack, and each interval of the scan is a set of suffixes that share
 exactly so many bytes. Inside an interval the bytes before the anchor decide: where they differ
-the repeat ends, so each interval splits into maximal repeats with all their occurrences. An
-occurrence is removed as far as it agrees with an earlier one over SIZE bytes or more.
+the repeat ends, so each interval splits into maximal repeats with all their occurrences. Each group
+of SIZE bytes or more keeps its earliest occurrence, and the others are removed.
 
 Occurrences with equal bytes all around the anchor need no comparison: the earliest of them
 stands for all, and the others go as a whole. That is done per slice of rows before the shuffle
@@ -28,9 +28,7 @@ texts under one doc_id (or under none) have spans of their own. Extra columns ar
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.llm.common import slices
+from ratingloom.operators.skew import fragment_join
 from ratingloom.session import durable
 
 SIZE = 100
@@ -254,65 +253,99 @@ def intervals(prefixes: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-def maximal_repeats(occurrences: list[tuple[int, int, bytes, bytes]], size: int = SIZE, k: int = K) -> list[tuple[int, int, list[tuple[int, int]]]]:
-    """(bytes before the anchor, bytes from it, occurrences) of the maximal repeats of ``size`` bytes or more.
+def _sorted_suffixes(occurrences: list[tuple], size: int, left: int) -> list[tuple]:
+    """(bytes from the anchor, their number, reversed bytes before it, their number, doc, place, ...), sorted."""
+    return sorted(
+        (int.from_bytes(r.ljust(size, b"\0"), "big"), len(r), int.from_bytes(b[::-1].ljust(left, b"\0"), "big"), len(b), d, p, *more)
+        for d, p, b, r, *more in occurrences
+    )
+
+
+def maximal_repeats(occurrences: list[tuple], size: int = SIZE, k: int = K) -> list[tuple[int, int, list[tuple]]]:
+    """(bytes before the anchor, bytes from it, members) of the maximal repeats of ``size`` bytes or more.
 
-    All occurrences (doc, place, bytes before, bytes from the anchor) share an anchor. A group is
-    listed if it cannot be extended to either side without losing a member.
+    All occurrences (doc, place, bytes before, bytes from the anchor, ...) share an anchor; a member is
+    (doc, place, ...). A group is listed if it cannot be extended to either side without losing a member.
     """
     left = size - k
-    rows = sorted((int.from_bytes(r.ljust(size, b"\0"), "big"), len(r), int.from_bytes(b[::-1].ljust(left, b"\0"), "big"), len(b), d, p) for d, p, b, r in occurrences)
+    rows = _sorted_suffixes(occurrences, size, left)
+    prefixes = _prefixes(rows, size)
     out = []
-    for depth, first, last in _intervals_of(rows, size):
-        members = sorted(rows[first : last + 1], key=lambda r: r[2])
-        shared = [0] + [min(_common(x[2], y[2], left), x[3], y[3]) for x, y in zip(members, members[1:])]
-        # a group is listed only if the bytes before it differ: the intervals of the reversed bytes, and all members where no byte is common
+    for depth, first, last in intervals(prefixes):
+        order = sorted(range(first, last + 1), key=lambda n: rows[n][2:4])
+        shared = _shared([rows[n] for n in order], left)
+        # the bytes before the anchor differ inside a group: intervals of the reversed bytes, and all members where no byte is common
         groups = intervals(shared)
         if 0 in shared[1:]:
-            groups.append((0, 0, len(members) - 1))
+            groups.append((0, 0, len(order) - 1))
         for back, a, b in groups:
-            if back + depth >= size:
-                out.append((back, depth, sorted((m[4], m[5]) for m in members[a : b + 1])))
+            members = order[a : b + 1]
+            # those inside one smaller interval share more to the right and are listed there
+            if back + depth >= size and min(prefixes[min(members) + 1 : max(members) + 1]) == depth:
+                out.append((back, depth, sorted(tuple(rows[n][4:]) for n in members)))
     return out
 
 
-def _intervals_of(rows: list[tuple], size: int) -> list[tuple[int, int, int]]:
-    prefixes = [0] + [min(_common(x[0], y[0], size), x[1], y[1]) for x, y in zip(rows, rows[1:])]
-    return intervals(prefixes)
+def _shared(rows: list[tuple], left: int) -> list[int]:
+    """The common bytes before the anchor of neighbours sorted by them."""
+    return [0] + [min(_common(x[2], y[2], left), x[3], y[3]) for x, y in zip(rows, rows[1:])]
+
+
+def _prefixes(rows: list[tuple], size: int) -> list[int]:
+    return [0] + [min(_common(x[0], y[0], size), x[1], y[1]) for x, y in zip(rows, rows[1:])]
+
+
+def deepest_later(shared: list[int], order: list) -> list[int]:
+    """For each member the common bytes of the smallest group in which another member comes first, -1 if none.
+
+    One scan over the groups of ``intervals``: a group hands on its earliest members alone, and those that
+    meet an earlier one in the group around theirs are settled there. ``order`` tells who is earlier;
+    equal ones are not earlier than each other.
+    """
+    best = [-1] * len(order)
+    stack: list[tuple[int, list[int]]] = []  # open groups with their earliest members so far
+
+    def meet(one: list[int], other: list[int], depth: int) -> list[int]:
+        if order[one[0]] == order[other[0]]:
+            return one + other
+        early, late = (one, other) if order[one[0]] < order[other[0]] else (other, one)
+        for n in late:
+            best[n] = depth
+        return early
+
+    for i in range(1, len(order) + 1):
+        here = shared[i] if i < len(order) else -1
+        now = [i - 1]
+        while stack and stack[-1][0] > here:
+            depth, early = stack.pop()
+            now = meet(early, now, depth)
+        if here < 0:
+            break
+        if stack and stack[-1][0] == here:
+            stack[-1] = (here, meet(stack[-1][1], now, here))
+        else:
+            stack.append((here, now))
+    return best
 
 
 def removals(occurrences: list[tuple], size: int = SIZE, k: int = K) -> list[tuple]:
     """(doc, start, end) of what each occurrence shares with an earlier one, if ``size`` bytes or more.
 
-    Per interval the members are taken in order of doc and place and kept sorted by the bytes
-    before the anchor: the longest agreement with an earlier member is with a neighbour there.
-    What an occurrence has beyond doc, place and bytes is handed on behind its spans.
+    Every group of ``maximal_repeats`` keeps its earliest members and removes the others. Groups lie in
+    one another, so that a member is removed by the widest one that does not begin with it; others
+    remove parts of that. What an occurrence has beyond doc, place and bytes is handed on.
     """
     left = size - k
-    rows = sorted((int.from_bytes(r.ljust(size, b"\0"), "big"), len(r), int.from_bytes(b[::-1].ljust(left, b"\0"), "big"), len(b), d, p, *x) for d, p, b, r, *x in occurrences)
+    rows = _sorted_suffixes(occurrences, size, left)
     out = []
-    for depth, first, last in _intervals_of(rows, size):
+    for depth, first, last in intervals(_prefixes(rows, size)):
         need = size - depth
         if need > left:
             continue
-        keys: list[int] = []
-        held: list[int] = []  # length of the bytes before
-        # members at the same place of the same doc are no earlier ones for each other
-        for (doc, place), members in groupby(sorted(rows[first : last + 1], key=lambda r: (r[4], r[5])), key=lambda r: (r[4], r[5])):
-            found = []
-            for _, _, before, length, _, _, *more in members:
-                at = bisect_left(keys, before)
-                best = -1
-                for n in (at - 1, at):
-                    if 0 <= n < len(keys):
-                        best = max(best, min(_common(keys[n], before, left), held[n], length))
-                if best >= need:
-                    out.append((doc, place - best, place + depth, *more))
-                found.append((before, length))
-            for before, length in found:
-                at = bisect_left(keys, before)
-                keys.insert(at, before)
-                held.insert(at, length)
+        members = sorted(rows[first : last + 1], key=lambda r: r[2:4])
+        for r, back in zip(members, deepest_later(_shared(members, left), [(r[4], r[5]) for r in members])):
+            if back >= need:
+                out.append((r[4], r[5] - back, r[5] + depth, *r[6:]))
     return out
 
 
@@ -433,34 +466,104 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", gro
     )
 
 
-def maximal_repeat_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Maximal repeats around each anchor: (anchor, length before, length from, occurrences as doc and place).
+OCCURRENCES = "anchor long, around long, doc long, spot long, row long"
 
-    Occurrences with equal surroundings are listed once, by the earliest; groups are bounded by GROUP.
+
+def _every_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, text, row) to all anchors with their surroundings."""
+    with np.errstate(over="ignore"):
+        for piece in slices(batches):
+            for doc, text, row in zip(*(piece.column(n).to_pylist() for n in range(3))):
+                raw = np.frombuffer(_encoded(text), np.uint8)
+                places, grams, around = anchors(raw)
+                spots = places * SPOT + np.minimum(len(raw) - places, SIZE)
+                names = [pa.array(np.full(len(places), x, np.int64)) for x in (doc, row)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams.view(np.int64)), pa.array(around.view(np.int64)), names[0], pa.array(spots), names[1]],
+                    names=["anchor", "around", "doc", "spot", "row"],
+                )
+
+
+def _split_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per window of a context that holds the anchor: ``part`` is the window and how far before the anchor it begins."""
+    for piece in slices(batches, 64):
+        take, parts, backs = [], [], []
+        for n, (before, after) in enumerate(zip(piece.column("left").to_pylist(), piece.column("right").to_pylist())):
+            text = before + after
+            for start in range(len(text) - SIZE + 1):
+                back = len(before) - start
+                take.append(n)
+                backs.append(back)
+                parts.append(hashlib.blake2b(text[start : start + SIZE] + bytes([back]), digest_size=16).hexdigest())
+        rows = piece.take(pa.array(take, pa.int64()))
+        columns = [rows.column(c) for c in ("anchor", "around", "left", "right", "copies")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.string()), pa.array(backs, pa.int32())], names=["anchor", "around", "left", "right", "copies", "part", "back"])
+
+
+GROUPS = "group_id string, anchor long, around long, before int, after int"
+
+
+def _listed_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (anchor, part) to the members of their groups, one surrounding a row.
+
+    In a part of a split anchor all share a window; a group is listed in the part of its first window.
+    """
+    name, held, copied = None, [], []
+
+    def listed() -> list[tuple]:
+        anchor, part, wanted = name
+        groups = maximal_repeats(held) if len(held) > 1 else []
+        seen = {(back, depth, m[0]) for back, depth, members in groups for m in members}
+        # copies of one surrounding are a group of their own unless it is the whole of another one
+        groups += [(len(b), len(r), [(around,)]) for around, _, b, r in copied if len(b) + len(r) >= SIZE and (len(b), len(r), around) not in seen]
+        out = []
+        for n, (back, depth, members) in enumerate(groups):
+            if wanted < 0 or back == wanted:
+                out += [(f"{anchor & (1 << 64) - 1:016x}-{part}-{n}", anchor, m[0], back, depth) for m in members]
+        return out
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["group_id", "anchor", "around", "before", "after"])
+
+    for piece in slices(batches, 4_096):
+        out = []
+        for anchor, around, before, after, copies, part, back in zip(*(piece.column(n).to_pylist() for n in range(7))):
+            if (anchor, part, back) != name:
+                out += listed() if name else []
+                name, held, copied = (anchor, part, back), [], []
+            held.append((around, 0, before, after))
+            if copies:
+                copied.append(held[-1])
+        if out:
+            yield batch(out)
+    if name and (out := listed()):
+        yield batch(out)
+
+
+def maximal_repeat_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", group: int = GROUP) -> DataFrame:
+    """(group_id, doc_id, start, n_bytes): all occurrences of every maximal repeat around each anchor, one row each.
+
+    A repeat reaches at most SIZE - K bytes before its anchor and SIZE bytes from it on; a longer passage
+    is several groups, one per anchor in it. Occurrences with equal surroundings stand behind one of them
+    while groups are found and are joined back at the end, exact copies of whole texts included. An
+    anchor of more than ``group`` surroundings is split by the windows that hold it.
     """
     rows = _named(docs, text, key)
-    found = rows.mapInArrow(_anchor_rows, ANCHORS).filter("anchor is not null")
-    repeated = found.repartition("anchor").sortWithinPartitions("anchor", "around", "doc", "spot", "row").mapInArrow(_repeated_anchors, REPEATED)
-    contexts = _with_contexts(rows, repeated.filter("not covered").withColumn("place", F.floor(F.col("spot") / SPOT)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, held = None, []
-
-        def batch():
-            groups = maximal_repeats(held) if len(held) > 1 else []
-            occurrences = [[{"doc": d, "place": p} for d, p in g[2]] for g in groups]
-            kind = pa.list_(pa.struct([("doc", pa.int64()), ("place", pa.int64())]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(groups), pa.int64()), pa.array([g[0] for g in groups], pa.int32()), pa.array([g[1] for g in groups], pa.int32()), pa.array(occurrences, kind)],
-                names=["anchor", "before", "after", "occurrences"],
-            )
-
-        for piece in slices(batches, 4_096):
-            for anchor, doc, place, before, after in zip(*(piece.column(n).to_pylist() for n in range(5))):
-                if anchor != name:
-                    yield batch()
-                    name, held = anchor, []
-                held.append((doc, place, before, after))
-        yield batch()
-
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, before int, after int, occurrences array<struct<doc: long, place: long>>")
+    every = durable(rows.mapInArrow(_every_anchor, OCCURRENCES))
+    spot = F.struct("doc", "spot", "row")
+    kinds = every.groupBy("anchor", "around").agg(F.min(spot).alias("rep"), (F.min(F.struct("doc", "spot")) < F.max(F.struct("doc", "spot"))).alias("copies"))
+    kinds = durable(kinds.select("anchor", "around", "copies", "rep.*"))
+    repeated = durable(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.bool_or("copies").alias("any")).filter("n > 1 or any").select("anchor", "n"))
+    known = kinds.join(repeated, "anchor").withColumn("place", F.floor(F.col("spot") / SPOT))
+    contexts = _with_contexts(rows, known.select("anchor", "doc", "place", "row")).withColumnRenamed("place", "at")
+    told = known.select("anchor", "doc", "row", F.col("place").alias("at"), "around", "copies", "n")
+    contexts = durable(contexts.join(told, ["anchor", "doc", "row", "at"]).select("anchor", "around", "left", "right", "copies", "n"))
+    whole = contexts.filter(F.col("n") <= group).drop("n").withColumn("part", F.lit("")).withColumn("back", F.lit(-1))
+    split = contexts.filter(F.col("n") > group).drop("n").mapInArrow(_split_contexts, "anchor long, around long, left binary, right binary, copies boolean, part string, back int")
+    by_part = whole.union(split).repartition("anchor", "part").sortWithinPartitions("anchor", "part", "back")
+    found = durable(by_part.mapInArrow(_listed_groups, GROUPS))
+    all_of = fragment_join(every.join(repeated, "anchor", "left_semi"), found, ["anchor", "around"], ["doc", "spot", "row"])
+    place = F.floor(F.col("spot") / SPOT)
+    doc_id = F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
+    return all_of.select("group_id", doc_id, (place - F.col("before")).alias("start"), (F.col("before") + F.col("after")).cast("long").alias("n_bytes"), "row").distinct()

@@ -14,6 +14,8 @@ from ratingloom.llm import decontamination, minmax_dedup, ordinal_toxicity, pers
 from ratingloom.llm.common import short_batches
 from ratingloom.session import durable
 
+SIMILAR_PERCENT = 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the ordinal regression does not reject."""
@@ -23,9 +25,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates."""
+    """One document of each component of near-duplicates, linked from a similarity of 0.8 on."""
     short_batches(spark)
-    return minmax_dedup.first_of_each(docs)
+    return minmax_dedup.first_of_each(docs, percent=SIMILAR_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +42,10 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
     weights = personal_data.fit(docs)
     masked = personal_data.without_personal_data(docs["text"], weights)
-    out = docs.withColumn("__masked", masked)
-    same = F.col("__masked").eqNullSafe(docs["text"])
-    values = {"text": F.col("__masked"), "n_chars": F.when(same, F.col("n_chars")).otherwise(F.length("__masked")).alias("n_chars")}
+    name = "".join(docs.columns) + "_"  # longer than any column's name
+    out = docs.withColumn(name, masked)
+    same = F.col(name).eqNullSafe(docs["text"])
+    values = {"text": F.col(name), "n_chars": F.when(same, F.col("n_chars")).otherwise(F.length(name)).alias("n_chars")}
     return out.select(*[values[c].cast(t).alias(c) if c in values else F.col(c) for c, t in docs.dtypes])
 
 

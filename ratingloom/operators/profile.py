@@ -7,20 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ratingloom.functions.columns import array_count
-from ratingloom.operators.skew import exact_quantiles
+from ratingloom.operators.skew import exact_quantiles, quantiles_of_counts, value_counts
 from ratingloom.schemas import ITEM, RATING, USER
 
 
 def describe_column(df: DataFrame, column: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max of one numeric column."""
-    quartiles = exact_quantiles(df, column, (0.25, 0.5, 0.75)).select(F.struct("q0", "q1", "q2"))
+    """count, mean, std, min, quartiles and max of one numeric column.
+
+    The table is read once, for the counts of the distinct values; the rest comes from those.
+    """
+    counts = value_counts(df, column)
+    quartiles = quantiles_of_counts(counts, (0.25, 0.5, 0.75)).select(F.struct("q0", "q1", "q2"))
+    v, n = F.col("_v").cast("double"), F.sum("_cnt")
+    mean = counts.agg(F.sum(v * F.col("_cnt")) / n)
     return (
-        df.agg(
-            F.count(column).alias("count"),
-            F.avg(column).alias("mean"),
-            F.stddev_samp(column).alias("std"),
-            F.min(column).alias("min"),
-            F.max(column).alias("max"),
+        counts.withColumn("_d", v - mean.scalar())
+        .agg(
+            F.coalesce(n, F.lit(0)).alias("count"),
+            (F.sum(v * F.col("_cnt")) / n).alias("mean"),
+            F.when(n > 1, F.sqrt(F.sum(F.col("_d") * F.col("_d") * F.col("_cnt")) / (n - 1))).alias("std"),
+            F.min("_v").alias("min"),
+            F.max("_v").alias("max"),
         )
         .withColumn("_q", quartiles.scalar())
         .select(

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ratingloom.session import durable_in_order
+from ratingloom.session import durable, durable_in_order
 
 ROWS_PER_FRAGMENT = 2_000
 RANGE_BUCKETS = 256
@@ -85,13 +85,18 @@ def running_counts(
     ``counts`` has one row per (by, value). Values are cut at approximate quantiles into ranges
     that hold about equally many of them, whatever their distances; inside a range a partitioned
     window sums, and the ranges themselves, at most ``buckets`` per group, give the offsets. Where
-    the cuts lie does not change the result.
+    the cuts lie does not change the result. Only groups of more than ROWS_PER_FRAGMENT values are cut.
+    ``counts`` is read several times: hand over a table that is already computed.
     """
     by = list(by)
     shares = [n / buckets for n in range(1, buckets)]
-    spans = counts.groupBy(*by).agg(F.percentile_approx(value, shares, 4 * buckets).alias("_cuts"))
-    placed = counts.join(spans, by) if by else counts.withColumn("_cuts", spans.scalar())
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    cuts = F.percentile_approx(value, shares, 4 * buckets).alias("_cuts")
+    if by:
+        long = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROWS_PER_FRAGMENT).select(*by)
+        placed = counts.join(counts.join(long, by, "left_semi").groupBy(*by).agg(cuts), by, "left")
+    else:
+        placed = counts.withColumn("_cuts", counts.agg(cuts).scalar())
+    below = F.size(F.filter(F.coalesce("_cuts", F.array().cast(counts.select(F.array(value)).schema[0].dataType)), lambda cut: cut < F.col(value)))
     placed = placed.withColumn("_b", below).drop("_cuts")
 
     ahead = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,13 +131,22 @@ def exact_quantiles(
     Equal values are counted first, so the sorted table has one row per distinct value and
     no group is ever held in memory as a whole.
     """
-    by = list(by)
+    return quantiles_of_counts(value_counts(df, value, by, weight), probabilities, by)
+
+
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
+    """(by, ``_v``, ``_cnt``): how often each value occurs, computed once and written down."""
     weight = F.lit(1).cast("long") if weight is None else weight
-    counts = (
+    return durable(
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_v"))
         .agg(F.sum(weight).alias("_cnt"))
     )
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """The quantiles of ``exact_quantiles`` from a table of ``value_counts``."""
+    by = list(by)
     placed = running_counts(counts, "_v", "_cnt", by)
     outputs = []
     for n, p in enumerate(probabilities):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ratingloom.catalog import views
 from ratingloom.catalog.registry import query
@@ -16,8 +16,8 @@ from ratingloom.catalog.sql_parts import (
     pair_sums,
     similarities,
 )
-from ratingloom.operators import collaborative, evaluation, factorization, recommend, sampling
-from ratingloom.operators.similarity import rating_similarity
+from ratingloom.operators import collaborative, evaluation, factor_sweep, factorization, recommend, sampling
+from ratingloom.operators.similarity import rating_similarity, sampled_similarity
 from ratingloom.session import durable
 
 IDS = ("user_id", "parent_asin")
@@ -58,6 +58,28 @@ def sim_item_based(spark, d):
     return _rounded(rating_similarity(durable(views.matrix(spark, d)), "cosine", False, 2), "sim")
 
 
+@query("sim_sampled", f"""WITH {MATRIX}, {pair_sums()}
+SELECT count(*) FILTER (n >= 4) AS n_strong, sum(n) FILTER (n >= 4) AS n_common, true AS sum_holds, true AS recall_reached,
+  true AS sims_close FROM sums""")
+def sim_sampled(spark, d):
+    """Similarities from pairs inside groups of sixteen raters, beside all pairs with four or more common items."""
+    matrix = durable(views.matrix(spark, d))
+    exact = durable(rating_similarity(matrix, "cosine", True, 1)).toDF("a", "b", "m", "true_sim")
+    guess = durable(sampled_similarity(matrix, "cosine", raters_per_group=16))
+    all_keys = guess.agg(F.sum("n")).scalar()
+    both = exact.withColumn("_strong", F.col("m") >= 4).join(guess, ["a", "b"], "left")
+    strong = F.col("_strong")
+    return both.agg(
+        F.count_if(strong).alias("n_strong"),
+        F.sum(F.when(strong, F.col("m"))).alias("n_common"),
+        F.sum("m").alias("_m"),
+        (F.count(F.when(strong, F.col("n"))) >= 0.9 * F.count_if(strong)).alias("recall_reached"),
+        (F.avg(F.when(strong & F.col("n").isNotNull(), F.abs(F.col("sim") - F.col("true_sim")))) < 0.1).alias("sims_close"),
+    ).withColumn("_n", all_keys).select(
+        "n_strong", "n_common", (F.abs(F.col("_n") / F.col("_m") - 1) < 0.02).alias("sum_holds"), "recall_reached", "sims_close"
+    )
+
+
 def _predict_sql(k: int, by_user: bool, tag: str = "") -> str:
     """``preds``: targets in ``test{tag}`` from ``train{tag}`` and ``both_ways{tag}``, mean where there is none."""
     met = (
@@ -301,6 +323,26 @@ def mf_als(spark, d):
     )
 
 
+@query("mf_als_structured", f"""WITH {MATRIX}, structured AS (
+  SELECT user_id, parent_asin, CASE WHEN (substr(md5(user_id), 1, 1) < '8') = (substr(md5(parent_asin), 1, 1) < '8') THEN 5.0 ELSE 1.0 END AS rating FROM matrix),
+{holdout('structured', 0.2, 42, IDS, 'marked')}
+SELECT count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test, round(avg(rating) FILTER (is_test), 6) AS mean_test,
+  true AS recovers FROM marked""")
+def mf_als_structured(spark, d):
+    """Ratings of two tastes on the given pairs: a model that learns them is far closer to the held-out ones than their mean."""
+    low = lambda c: F.substring(F.md5(c), 1, 1) < "8"
+    rating = F.when(low("user_id") == low("parent_asin"), 5.0).otherwise(1.0)
+    matrix = views.matrix(spark, d).withColumn("rating", rating)
+    marked = durable(sampling.split_holdout(durable(matrix), 0.2, 42))
+    model = factorization.fit_factors(marked.where(~F.col("is_test")).drop("is_test"), 8, 10, 0.05)
+    preds = factorization.factor_predict(model, marked.where("is_test")).withColumn("_mean", model.mean.scalar())
+    error = lambda c: F.sqrt(F.avg((F.col("rating") - F.col(c)) ** 2))
+    sizes = marked.agg(F.count_if(~F.col("is_test")))
+    return preds.agg(
+        F.count(F.lit(1)).alias("n_test"), F.round(F.avg("rating"), 6).alias("mean_test"), (error("pred") < 0.5 * error("_mean")).alias("recovers")
+    ).withColumn("n_train", sizes.scalar())
+
+
 @query("mf_topn", f"""WITH {MATRIX}
 SELECT user_id, CAST(10 AS BIGINT) AS n, true AS in_scale, true AS in_order FROM matrix GROUP BY user_id""")
 def mf_topn(spark, d):
@@ -317,14 +359,107 @@ def mf_topn(spark, d):
     )
 
 
-@query("mf_grid", """SELECT CAST(f AS INTEGER) AS n_factors, CAST(5 AS INTEGER) AS n_epochs, CAST(0.1 AS DOUBLE) AS reg_all, true AS valid
-FROM (SELECT unnest([10, 20]) AS f)""")
+# The grid of the factor model.
+MF_FACTORS = (50, 75, 100, 125)
+MF_EPOCHS = (15, 20, 25, 30)
+MF_REGS = (0.01, 0.02, 0.03, 0.04)
+
+
+def _folded_biases(folds: int = 3) -> str:
+    """``based``: every rating with the mean and the damped biases of each fold's training rows."""
+    return f"""{MATRIX},
+rated AS (SELECT user_id, parent_asin, rating, CAST({hash_number(hash_key(*IDS, seed=42))} % {folds} AS INTEGER) AS fold FROM matrix),
+f AS (SELECT CAST(range AS INTEGER) AS f FROM range({folds})),
+train AS (SELECT f, user_id, parent_asin, rating FROM rated JOIN f ON f <> fold),
+mu AS (SELECT f, avg(rating) AS mean FROM train GROUP BY 1),
+bi AS (SELECT f, parent_asin, sum(rating - mean) / (count(*) + 10.0) AS b_i FROM train JOIN mu USING (f) GROUP BY 1, 2),
+bu AS (SELECT f, user_id, sum(rating - mean - b_i) / (count(*) + 15.0) AS b_u
+       FROM train JOIN mu USING (f) JOIN bi USING (f, parent_asin) GROUP BY 1, 2),
+based AS (SELECT f, user_id, parent_asin, rating, fold = f AS held, mean + coalesce(b_i, 0.0) + coalesce(b_u, 0.0) AS base
+          FROM rated CROSS JOIN f JOIN mu USING (f) LEFT JOIN bi USING (f, parent_asin) LEFT JOIN bu USING (f, user_id))"""
+
+
+_BIAS_RMSE = """bias AS (
+  SELECT avg(t) AS train, avg(h) AS held FROM (
+    SELECT f, sqrt(avg((rating - greatest(1.0, least(5.0, base))) ** 2) FILTER (NOT held)) AS t,
+           sqrt(avg((rating - greatest(1.0, least(5.0, base))) ** 2) FILTER (held)) AS h
+    FROM based GROUP BY f))"""
+
+
+@query("mf_grid", f"""WITH {_folded_biases()}, {_BIAS_RMSE}
+SELECT CAST(n AS INTEGER) AS n_factors, CAST(e AS INTEGER) AS n_epochs, CAST(g AS DOUBLE) AS reg_all, round(train, 6) AS bias_train_rmse,
+  round(held, 6) AS bias_rmse, true AS learns_train, true AS more_epochs_fit_closer, true AS ranked
+FROM bias, (SELECT unnest([{', '.join(map(str, MF_FACTORS))}]) AS n), (SELECT unnest([{', '.join(map(str, MF_EPOCHS))}]) AS e),
+  (SELECT unnest([{', '.join(map(str, MF_REGS))}]) AS g)""")
 def mf_grid(spark, d):
-    """Cross-validated configurations: errors are positive, agree with each other and are ranked."""
-    grid = factorization.factor_grid(views.matrix(spark, d), (10, 20), (5,), (0.1,))
-    rmse = F.col("mean_rmse")
-    valid = (rmse > 0) & (rmse < 4) & (F.col("mean_mse") + 1e-9 >= rmse * rmse) & F.col("rank_rmse").between(1, 2)
-    return grid.select("n_factors", "n_epochs", "reg_all", valid.alias("valid"))
+    """All configurations: the error on training rows is far below that of the biases, and falls with the epochs."""
+    matrix = durable(views.matrix(spark, d))
+    grid = factorization.factor_grid(matrix, MF_FACTORS, MF_EPOCHS, MF_REGS)
+    based = factor_sweep.fold_bases(sampling.assign_folds(matrix.select("user_id", "parent_asin", "rating")), 3)
+    rows = based.select("rating", "fold", F.posexplode("base").alias("f", "b"))
+    square = (F.col("rating") - F.greatest(F.lit(1.0), F.least(F.lit(5.0), F.col("b")))) ** 2
+    held = F.col("fold") == F.col("f")
+    bias = rows.groupBy("f").agg(F.sqrt(F.avg(F.when(~held, square))).alias("t"), F.sqrt(F.avg(F.when(held, square))).alias("h"))
+    bias = bias.agg(F.struct(F.avg("t").alias("t"), F.avg("h").alias("h")))
+    before = F.lag("train_rmse").over(Window.partitionBy("n_factors", "reg_all").orderBy("n_epochs"))
+    ahead = F.rank().over(Window.orderBy(F.round("mean_rmse", 9))).cast("int")
+    return grid.withColumn("_b", bias.scalar()).select(
+        "n_factors",
+        "n_epochs",
+        "reg_all",
+        F.round("_b.t", 6).alias("bias_train_rmse"),
+        F.round("_b.h", 6).alias("bias_rmse"),
+        (F.col("train_rmse") < 0.5 * F.col("_b.t")).alias("learns_train"),
+        F.coalesce(F.col("train_rmse") <= before + 1e-3, F.lit(True)).alias("more_epochs_fit_closer"),
+        (F.col("rank_rmse") == ahead).alias("ranked"),
+    )
+
+
+SMALL_RANKS, SMALL_EPOCHS, SMALL_REGS = (1, 2), (1, 3), (0.05, 0.5)
+
+
+def _als_sql(rank: int, reg: float, epochs: int) -> str:
+    """Ranks one and two written out: each half-step solves its normal equations by Cramer's rule."""
+    tag = f"{rank}_{str(reg).replace('.', '')}"
+
+    def draw(j: int) -> str:
+        digest = f"md5(user_id || '|{j}|42')"
+        return f"({hash_number(digest)} / 4294967296.0 - 0.5) / sqrt({rank}.0)" if j <= rank else "0.0"
+
+    def half(own: str, other: str, name: str, source: str) -> str:
+        diagonal = f"(yy + {reg} * n)" if rank == 2 else "1.0"
+        det = f"((xx + {reg} * n) * {diagonal} - xy * xy)"
+        y = f"((xx + {reg} * n) * yr - xy * xr) / {det}" if rank == 2 else "0.0"
+        return f"""{name} AS (SELECT f, id, ({diagonal} * xr - xy * yr) / {det} AS x, {y} AS y FROM (
+    SELECT b.f, b.{own} AS id, count(*) AS n, sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy,
+      sum(x * (rating - base)) AS xr, sum(y * (rating - base)) AS yr
+    FROM based b JOIN {source} s ON s.f = b.f AND s.id = b.{other} WHERE NOT held GROUP BY 1, 2))"""
+
+    parts = [f"u{tag}_0 AS (SELECT f, user_id AS id, {draw(1)} AS x, {draw(2)} AS y FROM based GROUP BY f, user_id)"]
+    for e in range(1, epochs + 1):
+        parts.append(half("parent_asin", "user_id", f"i{tag}_{e}", f"u{tag}_{e - 1}"))
+        parts.append(half("user_id", "parent_asin", f"u{tag}_{e}", f"i{tag}_{e}"))
+        parts.append(f"""e{tag}_{e} AS (SELECT b.f AS fold, {rank} AS n_factors, {e} AS n_epochs, {reg} AS reg_all,
+  avg((rating - greatest(1.0, least(5.0, base + coalesce(u.x * i.x + u.y * i.y, 0.0)))) ** 2) AS mse
+  FROM based b LEFT JOIN u{tag}_{e} u ON u.f = b.f AND u.id = b.user_id LEFT JOIN i{tag}_{e} i ON i.f = b.f AND i.id = b.parent_asin
+  WHERE held GROUP BY b.f)""")
+    return ",\n".join(parts)
+
+
+def _small_grid_sql() -> str:
+    runs = [(r, g) for r in SMALL_RANKS for g in SMALL_REGS]
+    parts = ",\n".join(_als_sql(r, g, max(SMALL_EPOCHS)) for r, g in runs)
+    rows = " UNION ALL ".join(f"SELECT * FROM e{r}_{str(g).replace('.', '')}_{e}" for r, g in runs for e in SMALL_EPOCHS)
+    return f"""WITH {_folded_biases()}, {parts}, scores AS ({rows})
+SELECT CAST(n_factors AS INTEGER) AS n_factors, CAST(n_epochs AS INTEGER) AS n_epochs, CAST(reg_all AS DOUBLE) AS reg_all,
+  round(avg(sqrt(mse)), 3) AS mean_rmse, round(stddev_pop(sqrt(mse)), 3) AS std_rmse FROM scores GROUP BY ALL"""
+
+
+@query("mf_grid_small", _small_grid_sql())
+def mf_grid_small(spark, d):
+    """Small ranks, whose errors SQL can work out number by number."""
+    grid = factorization.factor_grid(views.matrix(spark, d), SMALL_RANKS, SMALL_EPOCHS, SMALL_REGS)
+    return _rounded(grid.select("n_factors", "n_epochs", "reg_all", "mean_rmse", "std_rmse"), "mean_rmse", "std_rmse", digits=3)
 
 
 # --- prediction from given factors ------------------------------------------------------
@@ -372,3 +507,12 @@ SELECT user_id, parent_asin, pred, CAST(rank AS INTEGER) AS rank FROM (
   FROM (SELECT user_id, parent_asin, round({_GIVEN_PRED}, 6) AS pred FROM fu, fi, mu)) WHERE rank <= 10""")
 def mf_topn_given_factors(spark, d):
     return factorization.factor_top_n(_given_model(spark, d)[1], 10)
+
+
+@query("mf_topn_pruned", f"""WITH {_GIVEN}
+SELECT user_id, parent_asin, pred, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pred DESC, parent_asin) AS rank
+  FROM (SELECT user_id, parent_asin, round({_GIVEN_PRED}, 6) AS pred FROM fu, fi, mu)) WHERE rank <= 25""")
+def mf_topn_pruned(spark, d):
+    """Longer lists over small blocks of items, most of which a user never looks at."""
+    return factorization.factor_top_n(_given_model(spark, d)[1], 25, block_items=64, first=2)

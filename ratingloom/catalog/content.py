@@ -9,8 +9,8 @@ from ratingloom.catalog import views
 from ratingloom.catalog.collaborative import top_n_sql
 from ratingloom.catalog.registry import query
 from ratingloom.catalog.sql_parts import EMB, RATINGS, hash_key, hash_number, holdout, neighbors
-from ratingloom.functions.vectors import l2_normalize, squared_distance
-from ratingloom.operators import clustering, content, diagnostics, evaluation, nearest, recommend, sampling
+from ratingloom.functions.vectors import cosine, l2_normalize, squared_distance
+from ratingloom.operators import clustering, content, diagnostics, evaluation, nearest, neighbor_index, recommend, sampling
 from ratingloom.session import durable
 
 KS = (5, 10, 15, 20, 30, 40)
@@ -36,6 +36,45 @@ def item_knn_euclid(spark, d):
     return nearest.item_neighbors(views.item_embeddings(spark, d), 20, "euclidean")
 
 
+@query("item_knn_indexed", f"WITH {neighbors(20)} SELECT item, neighbor, rank, sim FROM nn")
+def item_knn_indexed(spark, d):
+    """The exact neighbours again, through lists that bounds rule out or admit."""
+    return neighbor_index.indexed_neighbors(views.item_embeddings(spark, d), 20, exact=True)
+
+
+@query("item_knn_indexed_euclid", f"WITH {neighbors(20, 'euclidean')} SELECT item, neighbor, rank, sim FROM nn")
+def item_knn_indexed_euclid(spark, d):
+    return neighbor_index.indexed_neighbors(views.item_embeddings(spark, d), 20, "euclidean", exact=True, probes=2)
+
+
+@query("item_knn_approximate", """SELECT count(*) AS n_queries, 20 * count(*) AS n_neighbors, (SELECT count(*) FROM embeddings) AS n_indexed,
+  true AS sims_hold, true AS recall_reached FROM embeddings WHERE vec_id % 50 = 0""")
+def item_knn_approximate(spark, d):
+    """Approximate neighbours of every fiftieth item among all items, and their recall beside the exact ones."""
+    items = views.item_embeddings(spark, d)
+    index = neighbor_index.build_index(items, 20)
+    asked = items.where(F.col("item_id").cast("long") % 50 == 0).select(F.col("item_id").alias("_id"))
+    probes = neighbor_index.choose_probes(index, 0.95)
+    found = durable(neighbor_index.search(index, 20, probes, queries=asked))
+    true = neighbor_index.search(index, 20, probes, exact=True, queries=asked).select("item", "neighbor", F.lit(1).alias("hit"))
+    vectors = items.select("item_id", "embedding")
+    pairs = (
+        found.join(vectors.toDF("item", "a"), "item")
+        .join(vectors.toDF("neighbor", "b"), "neighbor")
+        .select("item", "neighbor", (F.abs(F.col("sim") - cosine(F.col("a"), F.col("b"))) < 2e-6).alias("holds"))
+    )
+    return (
+        pairs.join(true, ["item", "neighbor"], "left")
+        .agg(
+            F.countDistinct("item").alias("n_queries"),
+            F.count(F.lit(1)).alias("n_neighbors"),
+            F.every("holds").alias("sims_hold"),
+            (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+        )
+        .withColumn("n_indexed", index.rows.agg(F.count(F.lit(1))).scalar())
+    )
+
+
 # Some embeddings are taken away by a hash of the id: those items are nobody's neighbours.
 _GAPS = "CAST('0x' || substr(md5(item_id), 1, 4) AS BIGINT) % 5 = 0"
 
@@ -347,6 +386,20 @@ def silhouette_given_labels(spark, d):
     return _rounded(clustering.silhouette_samples(views.item_embeddings(spark, d)), "silhouette")
 
 
+# Bounds of the mean distance to a cluster: the distance c to its mean, and sqrt(c^2 + mean squared distance from it).
+@query("silhouette_work", f"""WITH {EMB}, {_CENTROIDS}, balls AS (
+  SELECT cluster, c, count(*) AS members, avg(list_distance(v, c) ** 2) AS spread FROM emb JOIN cent USING (cluster) GROUP BY ALL),
+bounds AS (
+  SELECT item_id, emb.cluster AS own, b.cluster, members, list_distance(v, c) AS low, sqrt(list_distance(v, c) ** 2 + spread) AS high
+  FROM emb CROSS JOIN balls b),
+least AS (SELECT item_id, min(high) AS least FROM bounds WHERE cluster <> own GROUP BY 1)
+SELECT cluster, members, count(*) AS needed_by, members * count(*) AS distances
+FROM bounds JOIN least USING (item_id) WHERE cluster = own OR low <= least GROUP BY 1, 2""")
+def silhouette_work(spark, d):
+    """How many distances the silhouette computes per cluster."""
+    return clustering.silhouette_work(views.item_embeddings(spark, d))
+
+
 SWEEP_KS = (5, 10, 20, 30, 40, 50, 60, 70, 80)
 
 
@@ -368,6 +421,47 @@ def kmeans_sweep(spark, d):
     )
 
 
+def _lloyd_sql(k: int, steps: int = 2) -> str:
+    """``row{k}``: inertia and silhouette after some Lloyd steps from the k points first by hash."""
+    placed = lambda cents: f"""(SELECT item_id, cluster, v FROM (
+  SELECT item_id, v, c.cluster, row_number() OVER (PARTITION BY item_id ORDER BY round(list_distance(v, c) ** 2, 12), c.cluster) AS n
+  FROM emb CROSS JOIN {cents} c) WHERE n = 1)"""
+    parts = [f"""c{k}_0 AS (SELECT CAST(row_number() OVER (ORDER BY {hash_key('item_id', seed=42)}, item_id) - 1 AS INTEGER) AS cluster, v AS c
+  FROM emb ORDER BY {hash_key('item_id', seed=42)}, item_id LIMIT {k})"""]
+    for n in range(1, steps + 1):
+        parts.append(f"""c{k}_{n} AS (SELECT cluster, list(value ORDER BY pos) AS c FROM (
+  SELECT cluster, pos, avg(x) AS value FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM {placed(f'c{k}_{n - 1}')}) GROUP BY 1, 2) GROUP BY 1)""")
+    parts.append(f"l{k} AS MATERIALIZED {placed(f'c{k}_{steps}')}")
+    parts.append(f"""m{k} AS (SELECT cluster, list(value ORDER BY pos) AS c FROM (
+  SELECT cluster, pos, avg(x) AS value FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM l{k}) GROUP BY 1, 2) GROUP BY 1)""")
+    parts.append(f"""d{k} AS (SELECT a.item_id AS id, a.cluster, b.cluster AS other, sum(list_distance(a.v, b.v)) AS total, count(*) AS n
+  FROM l{k} a JOIN l{k} b ON a.item_id <> b.item_id GROUP BY ALL)""")
+    parts.append(f"""s{k} AS (SELECT id, max(total / n) FILTER (cluster = other) AS a, min(total / n) FILTER (cluster <> other) AS b FROM d{k} GROUP BY id)""")
+    parts.append(f"""row{k} AS (SELECT {k} AS k, (SELECT sum(list_distance(v, c) ** 2) FROM l{k} JOIN m{k} USING (cluster)) AS inertia,
+  (SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) FROM s{k}) AS silhouette)""")
+    return ",\n".join(parts)
+
+
+FIXED_KS = (2, 5, 10, 20, 40, 80)
+_FIXED_ROWS = " UNION ALL ".join(f"SELECT * FROM row{k} WHERE {k} < (SELECT count(*) FROM emb)" for k in FIXED_KS)
+_FIXED_SWEEP = f"WITH {EMB}, {', '.join(map(_lloyd_sql, FIXED_KS))}, sweep AS ({_FIXED_ROWS})"
+
+
+@query("kmeans_sweep_fixed_start", f"""{_FIXED_SWEEP}
+SELECT 'given' AS embedding, CAST(w.k AS INTEGER) AS k, (SELECT count(*) FROM emb) AS n_points, round(inertia, 4) AS inertia, round(silhouette, 5) AS silhouette
+FROM (SELECT unnest([1, {', '.join(map(str, FIXED_KS))}]) AS k) w LEFT JOIN sweep USING (k)""")
+def kmeans_sweep_fixed_start(spark, d):
+    """The sweep with clusters that SQL can work out, so that its figures themselves are checked."""
+    sweep = clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), (1, *FIXED_KS), "given", fixed_steps=2)
+    return sweep.select("embedding", "k", "n_points", F.round("inertia", 4).alias("inertia"), F.round("silhouette", 5).alias("silhouette"))
+
+
+@query("kmeans_best_k_fixed_start", f"{_FIXED_SWEEP} SELECT CAST(arg_max(k, round(silhouette, 9)) AS INTEGER) AS k FROM sweep")
+def kmeans_best_k_fixed_start(spark, d):
+    """The k of the highest silhouette of that sweep."""
+    return clustering.best_k(clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), FIXED_KS, "given", fixed_steps=2))
+
+
 @query("kmeans_facts", """SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS n_points, true AS cost_holds, true AS at_nearest
 FROM (SELECT unnest([5, 20]) AS k)""")
 def kmeans_facts(spark, d):
@@ -392,7 +486,7 @@ def kmeans_facts(spark, d):
 
 @query("kmeans_best_k", "SELECT true AS is_listed, true AS is_best")
 def kmeans_best_k(spark, d):
-    sweep = durable(clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), (2, 4, 8), "given"))
+    sweep = durable(clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), SWEEP_KS, "given"))
     chosen = clustering.best_k(sweep).scalar()
     best = sweep.withColumn("c", chosen).agg(
         F.bool_or(F.col("c") == F.col("k")).alias("is_listed"),
@@ -452,13 +546,23 @@ def pca_2d(spark, d):
 
 @query("user_pca_2d", f"WITH {RATINGS} SELECT count(DISTINCT user_id) AS n_points, {_AXIS_SQL} FROM ratings")
 def user_pca_2d(spark, d):
+    return _user_axis_facts(spark, d)
+
+
+@query("user_pca_2d_blocked", f"WITH {RATINGS} SELECT count(DISTINCT user_id) AS n_points, {_AXIS_SQL} FROM ratings")
+def user_pca_2d_blocked(spark, d):
+    """The same facts with the axes as a table of column blocks instead of one array."""
+    return _user_axis_facts(spark, d, column_block=1_024)
+
+
+def _user_axis_facts(spark, d, **options):
     scaled = durable(_scaled(spark, d))
     users = views.ratings(spark, d).select("user_id")
     n = users.agg(F.countDistinct("user_id").cast("double")).scalar()
     x = F.col("scaled") - F.col("base")
     per_item = scaled.groupBy("parent_asin").agg(F.sum(x).alias("s"), F.sum(x * x).alias("ss")).withColumn("n", n)
     total = per_item.agg(F.sum(F.col("ss") / F.col("n") - (F.col("s") / F.col("n")) ** 2))
-    return _axis_facts(clustering.project_2d(clustering.user_profiles(scaled, users), "user_id"), total)
+    return _axis_facts(clustering.project_2d(clustering.user_profiles(scaled, users), "user_id", **options), total)
 
 
 # Users get fixed clusters from their id, so that the profile itself can be checked.

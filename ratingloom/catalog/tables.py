@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ratingloom.catalog import views
 from ratingloom.catalog.registry import query
 from ratingloom.catalog.sql_parts import MATRIX, META, RATINGS, REVIEWS, hash_key, hash_number, holdout
 from ratingloom.functions.columns import clean_price, clip
-from ratingloom.operators import correlation, filters, profile, sampling
+from ratingloom.operators import correlation, filters, profile, sampling, sketches
 from ratingloom.operators.features import documents, text_table
-from ratingloom.session import durable
+from ratingloom.session import durable, shared_folder
 from ratingloom.sources.tables import merge_parts
 
 KEYS = ("user_id", "parent_asin", "rating")
@@ -239,6 +241,58 @@ def global_mean(spark, d):
     return profile.global_mean(views.ratings(spark, d)).withColumn("global_mean", F.round("global_mean", 8))
 
 
+def _sketches(spark, d):
+    """Sketches of five parts of the reviews, one of them written twice, and the reviews."""
+    reviews, path = durable(views.reviews(spark, d).drop("images")), f"{shared_folder(spark)}/sketches-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("user_id", "parent_asin"), F.lit(5))
+    for n in (0, 1, 2, 3, 4, 2):
+        held = sketches.sketch_part(reviews.where(part == n), f"part{n}", values=("rating", "helpful_vote"))
+        sketches.save_sketch(held, path)
+    return reviews, sketches.merge_sketches(sketches.load_sketches(spark, path), values=("rating", "helpful_vote"))
+
+
+@query("sketch_sparsity", f"""WITH {RATINGS}
+SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT parent_asin) AS n_items,
+       true AS users_close, true AS items_close FROM ratings""")
+def sketch_sparsity(spark, d):
+    """The exact counts, and whether the merged sketches of the parts come as close as promised."""
+    reviews, merged = _sketches(spark, d)
+    guess = sketches.approximate_sparsity(merged).select(F.col("n_ratings"), F.col("n_users").alias("u"), F.col("n_items").alias("i"))
+    bound = 4 * sketches.distinct_error()
+    close = lambda a, b: F.abs(F.col(a) / F.col(b) - 1) <= bound
+    exact = profile.sparsity(reviews).select(F.struct("n_users", "n_items"))
+    return guess.withColumn("e", exact.scalar()).select(
+        "n_ratings", F.col("e.n_users").alias("n_users"), F.col("e.n_items").alias("n_items"),
+        close("u", "e.n_users").alias("users_close"), close("i", "e.n_items").alias("items_close"),
+    )
+
+
+_SHARES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@query("sketch_quantiles", f"""WITH {REVIEWS}
+SELECT CAST(p AS DOUBLE) AS p, count(*) AS n, round(quantile_cont(helpful_vote, 0.5), 6) AS median, true AS within
+FROM reviews, (SELECT unnest([{', '.join(map(str, _SHARES))}]) AS p) GROUP BY p""")
+def sketch_quantiles(spark, d):
+    """Whether the ranks of the estimated quantiles are within the promised error; the exact median beside them."""
+    reviews, merged = _sketches(spark, d)
+    guess = sketches.approximate_quantiles(merged, "helpful_vote", _SHARES)
+    counts = durable(reviews.groupBy("helpful_vote").agg(F.count(F.lit(1)).alias("c")))
+    total = counts.agg(F.sum("c"))
+    # the five estimates travel as one array
+    asked = counts.withColumn("g", guess.agg(F.collect_list(F.struct("p", "value"))).scalar()).select("helpful_vote", "c", F.inline("g"))
+    ranks = asked.groupBy("p").agg(
+        F.sum(F.when(F.col("helpful_vote") < F.col("value"), F.col("c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("helpful_vote") <= F.col("value"), F.col("c")).otherwise(0)).alias("upto"),
+    )
+    slack = sketches.rank_error() * F.col("n")
+    return (
+        ranks.withColumn("n", total.scalar())
+        .withColumn("median", profile.quantile(reviews, "helpful_vote", 0.5).scalar())
+        .select("p", "n", F.round("median", 6).alias("median"), ((F.col("below") - slack <= F.col("p") * F.col("n")) & (F.col("p") * F.col("n") <= F.col("upto") + slack)).alias("within"))
+    )
+
+
 _NUMERIC = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in CORRELATED)
 
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, ByteType, DataType, DoubleType, IntegerType, StructField, StructType
-from pyspark.storagelevel import StorageLevel
 
 from ratingloom.functions.vectors import cosine, squared_distance
-from ratingloom.operators.nearest import BLOCK_ROWS, dense_rows, into_tiles
-from ratingloom.operators.sampling import sample_exact
+from ratingloom.operators.block_join import block_join
+from ratingloom.operators.nearest import BLOCK_ROWS, dense_rows
+from ratingloom.operators.sampling import key_hash, sample_exact
 from ratingloom.operators.skew import exact_quantiles, number_in_order
+from ratingloom.operators.wide_components import COLUMN_BLOCK, blocked_components
 from ratingloom.schemas import ITEM, RATING, USER
 from ratingloom.session import durable
 
@@ -186,45 +189,86 @@ def inertia(points: DataFrame, cluster_col: str = "cluster", vector_col: str = "
     return per_dim.agg(F.sum("_ss").alias("inertia"))
 
 
-def _distance_sums() -> Callable[[pa.Table], pa.Table]:
-    """Per point of a tile the summed distance to, and the number of, points of each cluster."""
-
-    def run(tile: pa.Table) -> pa.Table:
-        x, y = tile.column("_x")[0].as_py(), tile.column("_y")[0].as_py()
-        side = tile.column("_side").to_numpy()
-        a = tile.filter(pa.array(side == x))
-        b = a if x == y else tile.filter(pa.array(side == y))
-        if not len(a) or not len(b):
-            return pa.table({"id": pa.array([], pa.string()), "own": pa.array([], pa.int32()),
-                             "other": pa.array([], pa.int32()), "total": pa.array([], pa.float64()),
-                             "n": pa.array([], pa.int64())})
-        left, right = dense_rows(a, "_vec"), dense_rows(b, "_vec")
-        gap = (left**2).sum(axis=1)[:, None] + (right**2).sum(axis=1)[None, :] - 2.0 * (left @ right.T)
-        dist = np.sqrt(np.maximum(gap, 0.0))
-        if x == y:
-            np.fill_diagonal(dist, 0.0)
-        parts = []
-        for rows, cols, d in [(a, b, dist)] if x == y else [(a, b, dist), (b, a, dist.T)]:
-            labels, inverse = np.unique(cols.column("_label").to_numpy(), return_inverse=True)
-            member = np.zeros((len(cols), len(labels)))
-            member[np.arange(len(cols)), inverse] = 1.0
-            totals = d @ member
-            sizes = member.sum(axis=0).astype(np.int64)
-            n, m = totals.shape
-            parts.append(
-                pa.table(
-                    {
-                        "id": rows.column("_id").take(pa.array(np.repeat(np.arange(n), m))).cast(pa.string()),
-                        "own": pa.array(np.repeat(rows.column("_label").to_numpy(), m), pa.int32()),
-                        "other": pa.array(np.tile(labels, n), pa.int32()),
-                        "total": pa.array(totals.ravel()),
-                        "n": pa.array(np.tile(sizes, n)),
-                    }
-                )
-            )
-        return pa.concat_tables(parts).combine_chunks()
+@dataclass
+class ClusterBalls:
+    """Label, size, mean and mean squared distance from the mean of every cluster, in label order.
+
+    They travel as one array: clusters x dimensions numbers, however many points there are.
+    """
+
+    labels: np.ndarray
+    sizes: np.ndarray
+    means: np.ndarray
+    spreads: np.ndarray
+
+
+def _labelled(points: DataFrame, id_col: str, vector_col: str, cluster_col: str) -> DataFrame:
+    vec = F.transform(vector_col, lambda x: x.cast("double"))
+    return points.select(F.col(id_col).cast("string").alias("_id"), vec.alias("_vec"), F.col(cluster_col).cast("int").alias("_label")).where(
+        "_vec IS NOT NULL"
+    )
+
 
-    return run
+def cluster_balls(rows: DataFrame) -> ClusterBalls:
+    """The balls of rows (_vec, _label)."""
+    means = centroid_table(mean_by_cluster(rows, "_label", "_vec"), "_label")
+    squares = F.aggregate("_vec", F.lit(0.0), lambda s, x: s + x * x)
+    sizes = rows.groupBy("_label").agg(F.count(F.lit(1)).alias("n"), F.avg(squares).alias("sq"))
+    held = sorted(means.join(sizes, "_label").collect(), key=lambda r: r["_label"])
+    centres = np.array([r["embedding"] for r in held]).reshape(len(held), -1)
+    raw = np.array([r["sq"] for r in held])
+    # the last term covers the rounding of the difference
+    spreads = np.maximum(raw - (centres**2).sum(1), 0.0) + 1e-9 * raw
+    return ClusterBalls(np.array([r["_label"] for r in held], np.int64), np.array([r["n"] for r in held], np.int64), centres, spreads)
+
+
+def undecided_clusters(rows: DataFrame, balls: ClusterBalls) -> DataFrame:
+    """(_id, _vec, _label, _with): the clusters whose mean distance from a point must be computed.
+
+    The mean distance to the members of a cluster lies between the distance c to their mean and
+    sqrt(c^2 + their mean squared distance from it). A point needs its own cluster and every other
+    one whose lower bound does not exceed the smallest upper bound of the others.
+    """
+    held = rows.sparkSession.sparkContext.broadcast(balls)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        balls = held.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = dense_rows(pa.Table.from_batches([batch]), "_vec")
+            own = np.searchsorted(balls.labels, batch.column("_label").to_numpy())
+            squares = (x**2).sum(1)[:, None] + (balls.means**2).sum(1)[None, :] - 2.0 * (x @ balls.means.T)
+            dust = 1e-9 * (1.0 + (x**2).sum(1))[:, None]
+            low, high = np.sqrt(np.maximum(squares - dust, 0.0)), np.sqrt(np.maximum(squares, 0.0) + dust + balls.spreads)
+            high[np.arange(len(x)), own] = np.inf
+            need = low <= high.min(1)[:, None]
+            need[np.arange(len(x)), own] = True
+            row, col = np.nonzero(need)
+            take = pa.array(row)
+            columns = [batch.column(c).take(take) for c in ("_id", "_vec", "_label")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(balls.labels[col].astype(np.int32))], names=["_id", "_vec", "_label", "_with"])
+
+    return rows.select("_id", "_vec", "_label").mapInArrow(run, "_id string, _vec array<double>, _label int, _with int")
+
+
+def _distance_sums(label: int, ask: pa.Table, own: pa.Table) -> pa.Table:
+    """The summed distance of every asking point of a tile to the members of its cluster."""
+    left, right = dense_rows(ask, "_vec"), dense_rows(own, "_vec")
+    gap = (left**2).sum(axis=1)[:, None] + (right**2).sum(axis=1)[None, :] - 2.0 * (left @ right.T)
+    dist = np.sqrt(np.maximum(gap, 0.0))
+    at = pc.index_in(ask.column("_id"), value_set=own.column("_id").combine_chunks()).to_numpy()
+    itself = np.flatnonzero(~np.isnan(at))
+    dist[itself, at[itself].astype(np.int64)] = 0.0
+    return pa.table(
+        {
+            "id": ask.column("_id"),
+            "own": ask.column("_label"),
+            "other": pa.array(np.full(len(ask), label), pa.int32()),
+            "total": pa.array(dist.sum(1)),
+            "n": pa.array(np.full(len(ask), len(own), np.int64)),
+        }
+    )
 
 
 def silhouette_samples(
@@ -236,18 +280,17 @@ def silhouette_samples(
 ) -> DataFrame:
     """``(id, cluster, silhouette)`` with exact Euclidean distances; 0 in a cluster of one.
 
-    Points without vector are left out. Distances are computed tile by tile. A tile emits one row per point and cluster, never
-    one per pair of points.
+    Points without vector are left out. Every point meets its own cluster and the other clusters that
+    bounds leave undecided, most often one (``silhouette_work`` counts them). A tile is a block
+    of a cluster and a block of the points that need it; it emits one row per point, never one per
+    pair of points.
     """
-    rows = points.select(
-        F.col(id_col).cast("string").alias("_id"),
-        F.col(vector_col).alias("_vec"),
-        F.col(cluster_col).cast("int").alias("_label"),
-    ).where("_vec IS NOT NULL")
+    rows = durable(_labelled(points, id_col, vector_col, cluster_col))
+    balls = cluster_balls(rows)
+    asking = durable(undecided_clusters(rows, balls))
+    members = rows.select(F.col("_label").alias("_with"), "_id", "_vec")
     sums = (
-        into_tiles(rows, "_id", block_rows)
-        .groupBy("_x", "_y")
-        .applyInArrow(_distance_sums(), "id string, own int, other int, total double, n bigint")
+        block_join(asking, members, "_with", "_id", "_id", _distance_sums, "id string, own int, other int, total double, n bigint", block_rows)
         .groupBy("id", "own", "other")
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
@@ -264,10 +307,37 @@ def silhouette_samples(
     )
 
 
+def silhouette_work(
+    points: DataFrame, id_col: str = "item_id", vector_col: str = "embedding", cluster_col: str = "cluster"
+) -> DataFrame:
+    """``(cluster, members, needed_by, distances)``: points that need a cluster, and distances computed for them."""
+    rows = durable(_labelled(points, id_col, vector_col, cluster_col))
+    needed = undecided_clusters(rows, cluster_balls(rows)).groupBy(F.col("_with").alias("cluster")).agg(F.count(F.lit(1)).alias("needed_by"))
+    members = rows.groupBy(F.col("_label").alias("cluster")).agg(F.count(F.lit(1)).alias("members"))
+    return members.join(needed, "cluster").select("cluster", "members", "needed_by", (F.col("members") * F.col("needed_by")).alias("distances"))
+
+
 def mean_silhouette(points: DataFrame, **columns) -> DataFrame:
     return silhouette_samples(points, **columns).agg(F.avg("silhouette").alias("silhouette"))
 
 
+def lloyd(
+    points: DataFrame, k: int, steps: int = 2, seed: int = 42, id_col: str = "item_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """``(id, embedding, cluster)`` after some Lloyd steps from a fixed start: the k points first in the order of a hash.
+
+    For results that another engine can recompute; ``best_kmeans`` fits better. A cluster that loses
+    all its points is gone.
+    """
+    first = points.orderBy(key_hash([id_col], seed), id_col).limit(k)
+    order = Window.orderBy(key_hash([id_col], seed), id_col)  # k rows
+    centres = durable(first.select((F.row_number().over(order) - 1).cast("int").alias("cluster"), F.transform(vector_col, lambda x: x.cast("double")).alias("embedding")))
+    for _ in range(steps):
+        moved = kmeans_step(points, centres, id_col, vector_col)[1]
+        centres = durable(centroid_table(moved))
+    return points.join(kmeans_step(points, centres, id_col, vector_col)[0], id_col)
+
+
 def kmeans_sweep(
     embeddings: DataFrame,
     k_list: Sequence[int],
@@ -278,18 +348,20 @@ def kmeans_sweep(
     id_col: str = "item_id",
     vector_col: str = "embedding",
     max_iter: int = 50,
+    fixed_steps: int | None = None,
 ) -> DataFrame:
     """``(embedding, k, inertia, silhouette, n_points)``, one row per k; null for an unusable k.
 
     All points take part; with ``max_points`` a seeded draw of that many does, which depends on
-    ids only, so that several embeddings of the same items share it.
+    ids only, so that several embeddings of the same items share it. With ``fixed_steps`` the clusters
+    are those of ``lloyd`` after so many steps.
     """
     points = embeddings.select(F.col(id_col).cast("string").alias("_id"), F.col(vector_col).alias("embedding"))
     if max_points is not None:
         points = sample_exact(points, max_points, seed, ["_id"])
     features = points.select("_id", "embedding", array_to_vector(
         F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
-    features = features.persist(StorageLevel.MEMORY_AND_DISK)
+    features = durable(features)
     n_points = features.count()
     rows = []
     for k in k_list:
@@ -297,6 +369,9 @@ def kmeans_sweep(
             row = embeddings.sparkSession.range(1).select(
                 F.lit(None).cast("double").alias("inertia"), F.lit(None).cast("double").alias("silhouette")
             )
+        elif fixed_steps is not None:
+            labeled = durable(lloyd(features.select("_id", "embedding"), k, fixed_steps, seed, "_id"))
+            row = mean_silhouette(labeled, id_col="_id").withColumn("inertia", inertia(labeled).scalar())
         else:
             model = best_kmeans(features, k, seed, restarts, max_iter)
             labeled = model.transform(features).select("_id", "embedding", F.col("prediction").alias("cluster"))
@@ -352,7 +427,8 @@ def principal_axes(vectors: DataFrame, k: int, seed: int = 42) -> tuple[np.ndarr
     Block power iteration: each step sends every row through the axes and back, task by task, and
     only the summed columns reach the driver. The mean is taken off as a rank-one correction, so
     sparse rows stay sparse. The driver holds columns x (k + EXTRA_AXES) numbers, never a
-    covariance matrix.
+    covariance matrix. For at most ``wide_components.COLUMN_BLOCK`` columns; callers take
+    ``blocked_components`` beyond, where the axes are a table.
     """
     spark = vectors.sparkSession
     size = F.coalesce("features.size", F.size("features.values"))  # dense vectors store no size
@@ -415,9 +491,22 @@ def principal_axes(vectors: DataFrame, k: int, seed: int = 42) -> tuple[np.ndarr
     return first, values[:k] / total if total > 0 else np.zeros(k), means
 
 
-def project_2d(features: DataFrame, id_col: str) -> DataFrame:
-    """``(id, pc1, pc2, ratio1, ratio2)``: centred coordinates on the first two components, for any number of columns."""
+def columns_of(vectors: DataFrame) -> int:
+    """Columns of stored vectors; dense ones store no size."""
+    return vectors.agg(F.max(F.coalesce("features.size", F.size("features.values")))).first()[0] or 0
+
+
+def project_2d(features: DataFrame, id_col: str, column_block: int = COLUMN_BLOCK) -> DataFrame:
+    """``(id, pc1, pc2, ratio1, ratio2)``: centred coordinates on the first two components, for any number of columns.
+
+    Axes of at most ``column_block`` columns travel as one array; wider ones are a table of blocks.
+    """
     vectors = _retyped(features.select(id_col, "features"), "features", STORED_VECTOR)
+    if columns_of(vectors) > column_block:
+        placed, ratios = blocked_components(vectors, id_col, 2, column_block)
+        return placed.select(
+            id_col, F.col("y")[0].alias("pc1"), F.col("y")[1].alias("pc2"), F.lit(float(ratios[0])).alias("ratio1"), F.lit(float(ratios[1])).alias("ratio2")
+        )
     axes, ratios, means = principal_axes(vectors, 2)
     middle = means @ axes
     held = features.sparkSession.sparkContext.broadcast(axes)

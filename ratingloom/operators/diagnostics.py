@@ -9,6 +9,7 @@ from ratingloom.operators.clustering import principal_axes
 from ratingloom.operators.nearest import query_neighbors
 from ratingloom.operators.sampling import key_hash, sample_exact
 from ratingloom.operators.skew import number_in_order
+from ratingloom.operators.wide_components import COLUMN_BLOCK, blocked_components
 from ratingloom.session import durable
 
 PAIRS = 20_000
@@ -145,11 +146,11 @@ def random_pair_cosine(
     for side in ("a", "b"):
         of_side = numbered.select(F.col("pos").alias(f"p{side}"), F.col(id_col).alias(f"_id{side}"))
         ids = of_side.join(F.broadcast(ids), f"p{side}")
-    ids = durable(ids.select("_ida", "_idb"))
+    ids = ids.select("_ida", "_idb")
     vectors = embeddings.select(id_col, F.col(vector_col).alias("v"))
     first = vectors.select(F.col(id_col).alias("_ida"), F.col("v").alias("va")).join(F.broadcast(ids), "_ida")
     second = vectors.select(F.col(id_col).alias("_idb"), F.col("v").alias("vb"))
-    both = second.join(F.broadcast(durable(first)), "_idb")  # at most ``pairs`` vectors
+    both = second.join(F.broadcast(first), "_idb")  # at most ``pairs`` vectors
     cos = dot(F.col("va"), F.col("vb")) / (l2_norm(F.col("va")) * l2_norm(F.col("vb")) + F.lit(1e-9))
     return both.select(cos.alias("_c")).agg(
         F.avg("_c").alias("cos_mean"),
@@ -161,7 +162,7 @@ def random_pair_cosine(
 
 
 def explained_variance(
-    embeddings: DataFrame, components: int = 50, vector_col: str = "embedding"
+    embeddings: DataFrame, components: int = 50, vector_col: str = "embedding", column_block: int = COLUMN_BLOCK
 ) -> DataFrame:
     """Share of variance of the first, the first ten and all components; effective dimension."""
     vectors = embeddings.where(F.col(vector_col).isNotNull()).select(
@@ -174,7 +175,12 @@ def explained_variance(
     )
     shape = embeddings.agg(F.count(vector_col).alias("n"), F.max(F.size(vector_col)).alias("d")).first()
     k = min(components, shape["d"], shape["n"] - 1)
-    ratios = [float(x) for x in principal_axes(durable(vectors), k)[1]]
+    if shape["d"] > column_block:
+        numbered = vectors.withColumn("row", F.monotonically_increasing_id())
+        shares = blocked_components(numbered, "row", k, column_block)[1]
+    else:
+        shares = principal_axes(durable(vectors), k)[1]
+    ratios = [float(x) for x in shares]
     total = sum(ratios)
     effective = 1.0 / sum((r / (total + 1e-12)) ** 2 for r in ratios)
     return embeddings.sparkSession.range(1).select(

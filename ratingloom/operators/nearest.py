@@ -37,7 +37,7 @@ def into_tiles(df: DataFrame, id_col: str, block_rows: int, rows: int | None = N
     )
 
 
-def _best_per_row(sims: np.ndarray, k: int, own: bool) -> tuple[np.ndarray, np.ndarray]:
+def best_per_row(sims: np.ndarray, k: int, own: bool) -> tuple[np.ndarray, np.ndarray]:
     """Row and column positions of the k largest per row; earlier columns win ties."""
     if own:
         np.fill_diagonal(sims, -np.inf)
@@ -114,7 +114,7 @@ def _tile_neighbors(
         found = [(a, b, sims)] if x == y else [(a, b, sims), (b, a, np.ascontiguousarray(sims.T))]
         parts = []
         for rows, cols, values in found:
-            row, col = _best_per_row(values, k, own=x == y)
+            row, col = best_per_row(values, k, own=x == y)
             parts.append(
                 pa.table(
                     {

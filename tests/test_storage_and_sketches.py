@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.catalog import QUERIES, views
-from ratingloom.operators import clustering, embedding, factorization, profile, sketches, skew
+from ratingloom.operators import cbow, clustering, embedding, factorization, profile, sketches, skew
 from ratingloom.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -94,8 +94,8 @@ def test_batches_hold_texts_of_about_one_length(spark, tmp_path):
 
     docs = spark.createDataFrame([(f"d{n}", "x" * (1 + n * 37 % 400)) for n in range(400)], "parent_asin string, text string")
     padded = lambda df: sum(r.embedding[-1] for r in df.collect())
-    plain = padded(embedding.encode_texts(docs, lambda: Padding(4), normalize=False))
-    sorted_ = padded(embedding.encode_texts_resumable(docs, str(tmp_path / "p"), lambda: Padding(4), normalize=False, chunks=2, chunks_per_job=2))
+    plain = padded(embedding.encode_texts(docs, lambda: Padding(4), 8, normalize=False))
+    sorted_ = padded(embedding.encode_texts_resumable(docs, str(tmp_path / "p"), lambda: Padding(4), 8, normalize=False, chunks=2, chunks_per_job=2))
     assert sorted_ < 0.75 * plain
 
 
@@ -195,3 +195,25 @@ def test_lloyd_equals_the_plain_steps(spark):
         centres = np.array([x[label == c].mean(0) for c in range(4)])
     label = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
     assert got == {f"p{n}": c for n, c in enumerate(label)}
+
+
+@pytest.mark.parametrize("parts", [2_000_000, 1_500])
+def test_cbow_puts_words_of_one_topic_together(spark, parts):
+    rng = np.random.default_rng(9)
+    topics = [[f"{t}{n}" for n in range(12)] for t in ("sea", "hill")]
+    rows = []
+    for n in range(240):
+        words = rng.choice([*topics[n % 2], "the", "of"], 25).tolist()
+        rows.append((f"d{n}", words))
+    rows += [("none", []), ("once", ["rare"]), ("null", None), ("long", ["sea1", "sea2"] * 1_200)]
+    tokens = spark.createDataFrame(rows, "parent_asin string, tokens array<string>")
+    vectors = {r.word: np.array(r.vector) for r in cbow.train_cbow(tokens, 16, window=3, epochs=10, words_per_part=parts).collect()}
+    assert set(vectors) == {*topics[0], *topics[1], "the", "of"} and all(len(v) == 16 for v in vectors.values())
+    unit = {w: v / np.linalg.norm(v) for w, v in vectors.items()}
+    same = np.mean([unit[a] @ unit[b] for t in topics for a in t for b in t if a < b])
+    other = np.mean([unit[a] @ unit[b] for a in topics[0] for b in topics[1]])
+    assert same > other + 0.3
+    again = {r.word: r.vector for r in cbow.train_cbow(tokens.repartition(5), 16, window=3, epochs=1, words_per_part=parts).collect()}
+    once = {r.word: r.vector for r in cbow.train_cbow(tokens, 16, window=3, epochs=1, words_per_part=parts).collect()}
+    assert max(abs(np.array(again[w]) - np.array(once[w])).max() for w in once) < 1e-6  # however the rows are dealt
+    assert cbow.train_cbow(tokens.where("parent_asin IN ('none', 'once')"), 4).collect() == []

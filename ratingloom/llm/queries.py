@@ -49,7 +49,36 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find_personal_data(docs, personal_data.fit(docs))
 
 
-@query("op3_blob_ledger")
+def _secrets_sql(kind: str, place: int, pattern: str, measured: int, least: int) -> str:
+    """All matches of one kind: the text before each and the match itself give the places; ``measured`` is the group whose length counts."""
+    all_of = lambda group: f"regexp_extract_all(t, '(?s)(.*?)({pattern})', {group})"
+    return f"SELECT doc_id, '{kind}' AS kind, {place} AS place, {least} AS least, {all_of(1)} AS b, {all_of(2)} AS m, {all_of(measured)} AS v FROM d"
+
+
+_ASSIGN = """(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+SECRETS_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), found AS (
+  {_secrets_sql('assign', 0, _ASSIGN, 3, 6)}
+  UNION ALL {_secrets_sql('access', 1, 'AKIA[A-Z0-9]+', 2, 20)}
+  UNION ALL {_secrets_sql('hex', 2, '[0-9a-f]+', 2, 24)}
+), each AS (
+  SELECT doc_id, kind, place, least, unnest(b) AS b, unnest(m) AS m, unnest(v) AS v, generate_subscripts(m, 1) AS n FROM found
+), spans AS (
+  SELECT doc_id, kind, place, length(v) >= least AS counts, length(m) AS size,
+    sum(length(b) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY n) AS e FROM each
+), told AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || CAST(e - size AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY e - size, place) AS spans
+  FROM spans WHERE counts GROUP BY doc_id
+)
+SELECT doc_id, sha256(t) AS blob, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (doc_id)
+"""
+
+
+@query("op3_blob_ledger", SECRETS_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.scan_secrets(documents(spark, sf_dir), f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
 

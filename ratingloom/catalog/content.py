@@ -8,9 +8,11 @@ from pyspark.sql import Window, functions as F
 from ratingloom.catalog import views
 from ratingloom.catalog.collaborative import top_n_sql
 from ratingloom.catalog.registry import query
-from ratingloom.catalog.sql_parts import EMB, RATINGS, hash_key, hash_number, holdout, neighbors
+from ratingloom.catalog.sql_parts import EMB, META, RATINGS, hash_key, hash_number, holdout, neighbors
 from ratingloom.functions.vectors import cosine, l2_normalize, squared_distance
 from ratingloom.operators import clustering, content, diagnostics, evaluation, nearest, neighbor_index, recommend, sampling
+from ratingloom.operators.embedding import embed
+from ratingloom.operators.features import text_table
 from ratingloom.session import durable
 
 KS = (5, 10, 15, 20, 30, 40)
@@ -421,24 +423,25 @@ def kmeans_sweep(spark, d):
     )
 
 
-def _lloyd_sql(k: int, steps: int = 2) -> str:
-    """``row{k}``: inertia and silhouette after some Lloyd steps from the k points first by hash."""
+def _lloyd_sql(k: int, steps: int = 2, source: str = "emb", tag: str = "") -> str:
+    """``{tag}row{k}``: inertia and silhouette after some Lloyd steps from the k points first by hash."""
+    t = f"{tag}{k}"
     placed = lambda cents: f"""(SELECT item_id, cluster, v FROM (
   SELECT item_id, v, c.cluster, row_number() OVER (PARTITION BY item_id ORDER BY round(list_distance(v, c) ** 2, 12), c.cluster) AS n
-  FROM emb CROSS JOIN {cents} c) WHERE n = 1)"""
-    parts = [f"""c{k}_0 AS (SELECT CAST(row_number() OVER (ORDER BY {hash_key('item_id', seed=42)}, item_id) - 1 AS INTEGER) AS cluster, v AS c
-  FROM emb ORDER BY {hash_key('item_id', seed=42)}, item_id LIMIT {k})"""]
+  FROM {source} CROSS JOIN {cents} c) WHERE n = 1)"""
+    parts = [f"""c{t}_0 AS (SELECT CAST(row_number() OVER (ORDER BY {hash_key('item_id', seed=42)}, item_id) - 1 AS INTEGER) AS cluster, v AS c
+  FROM {source} ORDER BY {hash_key('item_id', seed=42)}, item_id LIMIT {k})"""]
     for n in range(1, steps + 1):
-        parts.append(f"""c{k}_{n} AS (SELECT cluster, list(value ORDER BY pos) AS c FROM (
-  SELECT cluster, pos, avg(x) AS value FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM {placed(f'c{k}_{n - 1}')}) GROUP BY 1, 2) GROUP BY 1)""")
-    parts.append(f"l{k} AS MATERIALIZED {placed(f'c{k}_{steps}')}")
-    parts.append(f"""m{k} AS (SELECT cluster, list(value ORDER BY pos) AS c FROM (
-  SELECT cluster, pos, avg(x) AS value FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM l{k}) GROUP BY 1, 2) GROUP BY 1)""")
-    parts.append(f"""d{k} AS (SELECT a.item_id AS id, a.cluster, b.cluster AS other, sum(list_distance(a.v, b.v)) AS total, count(*) AS n
-  FROM l{k} a JOIN l{k} b ON a.item_id <> b.item_id GROUP BY ALL)""")
-    parts.append(f"""s{k} AS (SELECT id, max(total / n) FILTER (cluster = other) AS a, min(total / n) FILTER (cluster <> other) AS b FROM d{k} GROUP BY id)""")
-    parts.append(f"""row{k} AS (SELECT {k} AS k, (SELECT sum(list_distance(v, c) ** 2) FROM l{k} JOIN m{k} USING (cluster)) AS inertia,
-  (SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) FROM s{k}) AS silhouette)""")
+        parts.append(f"""c{t}_{n} AS (SELECT cluster, list(value ORDER BY pos) AS c FROM (
+  SELECT cluster, pos, avg(x) AS value FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM {placed(f'c{t}_{n - 1}')}) GROUP BY 1, 2) GROUP BY 1)""")
+    parts.append(f"l{t} AS MATERIALIZED {placed(f'c{t}_{steps}')}")
+    parts.append(f"""m{t} AS (SELECT cluster, list(value ORDER BY pos) AS c FROM (
+  SELECT cluster, pos, avg(x) AS value FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM l{t}) GROUP BY 1, 2) GROUP BY 1)""")
+    parts.append(f"""d{t} AS (SELECT a.item_id AS id, a.cluster, b.cluster AS other, sum(list_distance(a.v, b.v)) AS total, count(*) AS n
+  FROM l{t} a JOIN l{t} b ON a.item_id <> b.item_id GROUP BY ALL)""")
+    parts.append(f"""s{t} AS (SELECT id, max(total / n) FILTER (cluster = other) AS a, min(total / n) FILTER (cluster <> other) AS b FROM d{t} GROUP BY id)""")
+    parts.append(f"""row{t} AS (SELECT {k} AS k, (SELECT sum(list_distance(v, c) ** 2) FROM l{t} JOIN m{t} USING (cluster)) AS inertia,
+  (SELECT avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) FROM s{t}) AS silhouette)""")
     return ",\n".join(parts)
 
 
@@ -462,6 +465,32 @@ def kmeans_best_k_fixed_start(spark, d):
     return clustering.best_k(clustering.kmeans_sweep(views.item_embeddings(spark, d).drop("cluster"), FIXED_KS, "given", fixed_steps=2))
 
 
+_CODED = f"""{META}, words AS (SELECT parent_asin AS item_id, unnest(regexp_extract_all(lower(concat_ws(' ', title, description, author, categories)), '\\S+')) AS word FROM meta),
+slots AS (SELECT item_id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 64 AS pos, count(*) AS n FROM words GROUP BY 1, 2),
+coded AS (
+  SELECT item_id, list(CAST(CAST(coalesce(n, 0) / size AS FLOAT) AS DOUBLE) ORDER BY p.pos) AS v
+  FROM (SELECT item_id, sqrt(sum(n * n)) AS size FROM slots GROUP BY 1) CROSS JOIN (SELECT range AS pos FROM range(64)) p
+  LEFT JOIN slots USING (item_id, pos) GROUP BY 1)"""
+EMBEDDER_KS = (3, 9)
+
+
+@query("kmeans_sweep_embedders", f"""WITH {EMB}, {_CODED}, {', '.join(_lloyd_sql(k) for k in EMBEDDER_KS)},
+{', '.join(_lloyd_sql(k, source='coded', tag='t') for k in EMBEDDER_KS)},
+sweep AS ({' UNION ALL '.join(f"SELECT 'given' AS embedding, * FROM row{k} UNION ALL SELECT 'transformer', * FROM rowt{k}" for k in EMBEDDER_KS)})
+SELECT embedding, CAST(k AS INTEGER) AS k, round(inertia, 4) AS inertia, round(silhouette, 5) AS silhouette,
+  (SELECT count(*) FROM emb) * CAST(embedding = 'given' AS BIGINT) + (SELECT count(*) FROM coded) * CAST(embedding <> 'given' AS BIGINT) AS n_points
+FROM sweep""")
+def kmeans_sweep_embedders(spark, d):
+    """One table of sweeps over several embedders: the given vectors and the encoded texts of the items."""
+    texts = durable(text_table(views.meta(spark, d)))
+    sets = {"given": views.item_embeddings(spark, d).drop("cluster"), "transformer": embed(texts, "transformer").withColumnRenamed("parent_asin", "item_id")}
+    out = None
+    for name, vectors in sets.items():
+        sweep = clustering.kmeans_sweep(durable(vectors), EMBEDDER_KS, name, fixed_steps=2)
+        out = sweep if out is None else out.unionByName(sweep)
+    return out.select("embedding", "k", F.round("inertia", 4).alias("inertia"), F.round("silhouette", 5).alias("silhouette"), "n_points")
+
+
 @query("kmeans_facts", """SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS n_points, true AS cost_holds, true AS at_nearest
 FROM (SELECT unnest([5, 20]) AS k)""")
 def kmeans_facts(spark, d):

@@ -301,7 +301,7 @@ def silhouette_samples(
         F.min(F.when(~same, F.col("total") / F.col("n"))).alias("_b"),
     )
     a = F.col("_inside") / (F.col("_size") - 1)
-    value = (F.col("_b") - a) / F.greatest(a, F.col("_b"))
+    value = F.when(F.greatest(a, F.col("_b")) > 0, (F.col("_b") - a) / F.greatest(a, F.col("_b")))  # equal points: 0
     return scored.select(
         "id", "cluster", F.when(F.col("_size") > 1, F.coalesce(value, F.lit(0.0))).otherwise(F.lit(0.0)).alias("silhouette")
     )

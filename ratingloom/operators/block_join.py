@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 Tile = Callable[[int, pa.Table, pa.Table], pa.Table]
 
@@ -35,12 +37,14 @@ def block_join(
             of = of.withColumn("_part", place(member_id, "_parts")).withColumn("_group", every("_groups"))
         return of.select(F.col(block).alias("_block"), "_part", "_group", both["_ask"], both["_own"])
 
-    def rows_of(column: pa.ChunkedArray) -> pa.Table:
-        held = column.drop_null().combine_chunks()
-        return pa.Table.from_struct_array(held)
+    out = StructType.fromDDL(schema)
 
     def run(table: pa.Table) -> pa.Table:
-        return tile(table.column("_block")[0].as_py(), rows_of(table.column("_ask")), rows_of(table.column("_own")))
+        asking, own = table.column("_ask"), table.column("_own")
+        if len(table) in (asking.null_count, own.null_count):  # a piece that the hash left without one side
+            return to_arrow_schema(out).empty_table()
+        rows_of = lambda column: pa.Table.from_struct_array(column.drop_null().combine_chunks())
+        return tile(table.column("_block")[0].as_py(), rows_of(asking), rows_of(own))
 
     return (
         side(asks, "_ask", members, "_own")

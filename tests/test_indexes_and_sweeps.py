@@ -239,7 +239,8 @@ def test_sampled_similarity_is_unbiased_and_finds_strong_pairs(spark):
         assert abs(sum(r.n for r in run.values()) / total - 1) < 0.03
         strong = [p for p, (n, _) in exact.items() if n >= 8]
         assert len([p for p in strong if p in run]) >= 0.9 * len(strong) > 0
-        assert np.mean([abs(run[p].sim - exact[p][1]) for p in strong if p in run]) < 0.08
+        # about three of nine common keys are met, with ratings drawn from one to five
+        assert np.mean([abs(run[p].sim - exact[p][1]) for p in strong if p in run]) < 0.12
         off = np.array([(run[p].n / exact[p][0] - 1) for p in strong if p in run])
         said = np.array([run[p].error for p in strong if p in run])
         assert 0.5 < np.sqrt((off**2).mean()) / said.mean() < 2.0  # the stated error is about the real one

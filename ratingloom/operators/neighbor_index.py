@@ -9,7 +9,13 @@ distance c can only hold a better one if c - R <= r, and exactly those lists are
 Equal vectors are one entry of the index. Of the ids that share a vector only the k + 1 smallest can
 be in anybody's k nearest, so a vector with very many copies costs no more than others, and what is
 found for it goes to every copy by a join. Long lists and the queries that visit them are cut into
-fragments; one task holds one fragment of each. Rows moved grow with items x probes.
+fragments; one task holds one fragment of each.
+
+An exact search visits FIRST_LISTS lists at most before the second stage, whatever the probes: they
+only have to give the distance r. In the second stage neighbouring lists lie on shelves of about
+SHELF_ROWS members. A query goes once to each shelf with a list that may hold a better neighbour and
+brings back only members that reach the r it came with, so vectors moved grow with items x shelves,
+not items x lists, and rows found hardly exceed the result.
 """
 
 from __future__ import annotations
@@ -31,6 +37,10 @@ from ratingloom.session import durable
 LISTS = 65_536  # at most; the centres travel as one array
 ROWS_PER_CENTRE = 64  # sample rows k-means sees for every centre
 FRAGMENT_ROWS = 2_048
+FIRST_LISTS = 4  # lists an exact search visits to find its first bound
+SHELF_ROWS = 32_768
+TILE_CELLS = 4_000_000  # numbers in one matrix of a task
+SLICE_CELLS = 250_000  # of one that decides which rows are sent on
 SAMPLE_QUERIES = 512
 KMEANS_STEPS = 8
 MARGIN = 2 * 10.0**-SIM_DIGITS  # similarities are compared by their digits
@@ -69,6 +79,14 @@ def _gaps(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], columns: int, cells: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in pieces over which a matrix of so many columns stays within ``cells``."""
+    rows = max(1, cells // max(1, columns))
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def build_index(
     embeddings: DataFrame,
     k: int,
@@ -105,9 +123,7 @@ def build_index(
     held = spark.sparkContext.broadcast(centres)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches, len(held.value), TILE_CELLS):
             points = _matrix(batch.column("_vec"))
             gaps = _gaps(_unit(points) if metric == "cosine" else points, held.value)
             nearest = gaps.argmin(1)
@@ -142,9 +158,7 @@ def _visited(index: NeighborIndex, queries: DataFrame, probes: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, names = held.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches, len(names), TILE_CELLS):
             points = _matrix(batch.column("_vec"))
             gaps = _gaps(_unit(points) if metric == "cosine" else points, centres)
             near = np.argpartition(gaps, probes - 1, axis=1)[:, :probes] if probes < gaps.shape[1] else np.tile(np.arange(gaps.shape[1]), (len(gaps), 1))
@@ -224,15 +238,18 @@ def search(index: NeighborIndex, k: int, probes: int, exact: bool = False, queri
     asked = index.rows if queries is None else index.rows.join(queries.select("_id").distinct(), "_id", "left_semi")
     if not index.sizes.any():
         return asked.select(F.col("_id").alias("item"), F.lit("").alias("neighbor"), F.lit(1).alias("rank"), F.lit(0.0).alias("sim")).limit(0)
+    probes = min(probes, FIRST_LISTS) if exact else probes
     vectors = index.vectors if queries is None else index.vectors.join(asked.select("_key").distinct(), "_key", "left_semi")
     seen = durable(_visited(index, vectors, probes))
     partial = _search_lists(index, seen.select("_key", "_vec", F.explode("_lists").alias("_list")))
+    partial = partial.drop("_list")
     if exact:
         partial = durable(partial)
         last = _best(partial, index.copies).where(F.col("rank") == index.copies).select("_key", F.col("sim").alias("_last"))
-        more = _undecided(index, seen.join(last, "_key", "left"))
-        partial = partial.unionByName(_search_lists(index, durable(more)))
-    found = _best(partial.drop("_list"), index.copies).groupBy("_key").agg(F.collect_list(F.struct("rank", "neighbor", "sim")).alias("_found"))
+        shelves = _shelves(index.centres, index.sizes, SHELF_ROWS)
+        more = durable(_undecided(index, seen.join(last, "_key", "left"), shelves))
+        partial = partial.unionByName(_search_shelves(index, more, shelves))
+    found = _best(partial, index.copies).groupBy("_key").agg(F.collect_list(F.struct("rank", "neighbor", "sim")).alias("_found"))
     # every copy of a vector gets its list, without itself
     per_row = fragment_join(asked, found, ["_key"], ["_id"])
     others = F.filter(F.array_sort("_found"), lambda e: e["neighbor"] != F.col("_id"))
@@ -241,17 +258,34 @@ def search(index: NeighborIndex, k: int, probes: int, exact: bool = False, queri
     )
 
 
-def _undecided(index: NeighborIndex, queries: DataFrame) -> DataFrame:
-    """(_key, _vec, _list): lists not visited yet that may hold a better neighbour than ``_last``."""
+def _shelves(centres: np.ndarray, sizes: np.ndarray, rows: int) -> np.ndarray:
+    """A shelf number for every list: lists are halved along the axis on which they differ most until ``rows`` members are left."""
+    shelves, number, todo = np.zeros(len(sizes), np.int32), 0, [np.arange(len(sizes))]
+    while todo:
+        part = todo.pop()
+        if len(part) == 1 or sizes[part].sum() <= rows:
+            shelves[part], number = number, number + 1
+            continue
+        part = part[np.argsort(centres[part, centres[part].var(0).argmax()], kind="stable")]
+        half = int(np.searchsorted(np.cumsum(sizes[part]), sizes[part].sum() / 2))
+        half = min(max(half, 1), len(part) - 1)
+        todo += [part[:half], part[half:]]
+    return shelves
+
+
+def _undecided(index: NeighborIndex, queries: DataFrame, shelves: np.ndarray) -> DataFrame:
+    """``queries`` (_key, _vec, _lists, _last) by ``_shelf``: those with a list not visited yet that may hold a better neighbour."""
     full = np.flatnonzero(index.sizes)
-    held = index.members.sparkSession.sparkContext.broadcast((index.centres[full], index.radii[full], full.astype(np.int32)))
+    order = full[np.argsort(shelves[full], kind="stable")]  # the lists of a shelf beside one another
+    numbers, begins = np.unique(shelves[order], return_index=True)
+    place = np.full(len(shelves), -1)
+    place[order] = np.arange(len(order))
+    held = index.members.sparkSession.sparkContext.broadcast((index.centres[order], index.radii[order], place, numbers.astype(np.int32), begins))
     metric = index.metric
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, radii, names = held.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        centres, radii, place, numbers, begins = held.value
+        for batch in _slices(batches, len(centres), SLICE_CELLS):
             points = _matrix(batch.column("_vec"))
             gaps = _gaps(_unit(points) if metric == "cosine" else points, centres)
             last = batch.column("_last").to_numpy(zero_copy_only=False).astype(np.float64)  # null: NaN
@@ -262,14 +296,60 @@ def _undecided(index: NeighborIndex, queries: DataFrame) -> DataFrame:
             dust = 1e-6 * (1.0 + np.linalg.norm(points, axis=1, keepdims=True))  # rounding of the distances
             open_ = gaps - radii[None, :] <= reach[:, None] + dust
             lists = batch.column("_lists")
-            been = np.searchsorted(names, lists.flatten().to_numpy())
-            open_[np.repeat(np.arange(len(gaps)), np.diff(lists.offsets.to_numpy())), been] = False
-            row, col = np.nonzero(open_)
-            take = pa.array(row)
-            columns = [batch.column("_key").take(take), batch.column("_vec").take(take), pa.array(names[col])]
-            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_vec", "_list"])
-
-    return queries.mapInArrow(run, "_key struct<a:long,b:long>, _vec array<double>, _list int")
+            open_[np.repeat(np.arange(len(gaps)), lists.value_lengths().to_numpy()), place[lists.flatten().to_numpy()]] = False
+            row, col = np.nonzero(np.logical_or.reduceat(open_, begins, axis=1))
+            columns = [batch.column(c).take(pa.array(row)) for c in ("_key", "_vec", "_lists", "_last")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers[col])], names=["_key", "_vec", "_lists", "_last", "_shelf"])
+
+    schema = "_key struct<a:long,b:long>, _vec array<double>, _lists array<int>, _last double, _shelf int"
+    return queries.select("_key", "_vec", "_lists", "_last").mapInArrow(run, schema)
+
+
+def _search_shelves(index: NeighborIndex, asks: DataFrame, shelves: np.ndarray) -> DataFrame:
+    """(_key, neighbor, sim): per shelf a query asks, at most ``copies`` best members outside its ``_lists`` that reach ``_last``."""
+    metric, best, spark = index.metric, index.copies, index.members.sparkSession
+    names = spark.createDataFrame([(n, int(shelf)) for n, shelf in enumerate(shelves)], "_list int, _shelf int")
+    members = index.members.join(F.broadcast(names), "_list")  # at most LISTS short rows
+
+    def tile(_shelf: int, ask: pa.Table, own: pa.Table) -> pa.Table:
+        own = own.sort_by("_id")
+        vectors, ids = _matrix(own.column("_vec")), own.column("_id").combine_chunks()
+        of = own.column("_list").to_numpy()
+        here = {name: np.flatnonzero(of == name) for name in np.unique(of)}
+        rows, cols, values = [], [], []
+        step = max(1, TILE_CELLS // len(own))
+        for start in range(0, len(ask), step):
+            part = ask.slice(start, step)
+            sims = _similarity(_matrix(part.column("_vec")), vectors, metric)
+            for row, lists in enumerate(part.column("_lists").to_pylist()):
+                for name in lists:
+                    if name in here:
+                        sims[row, here[name]] = -np.inf
+            last = part.column("_last").to_numpy().astype(np.float64)
+            floor = np.where(np.isnan(last), -np.inf, last - MARGIN)
+            many = np.flatnonzero((sims >= floor[:, None]).sum(1) > best)
+            if len(many):
+                place = sims.shape[1] - best
+                floor[many] = np.maximum(floor[many], np.partition(sims[many], place, axis=1)[:, place] - MARGIN)
+            row, col = np.nonzero(sims >= floor[:, None])
+            value = np.round(sims[row, col], SIM_DIGITS) + 0.0
+            order = np.lexsort((col, -value, row))
+            row, col, value = row[order], col[order], value[order]
+            keep = (np.arange(len(row)) - np.searchsorted(row, row) < best) & np.isfinite(value)
+            rows.append(row[keep] + start)
+            cols.append(col[keep])
+            values.append(value[keep])
+        row, col = np.concatenate(rows), np.concatenate(cols)
+        return pa.table(
+            {
+                "_key": ask.column("_key").combine_chunks().take(pa.array(row)),
+                "neighbor": ids.take(pa.array(col)),
+                "sim": pa.array(np.concatenate(values)),
+            }
+        )
+
+    schema = "_key struct<a:long,b:long>, neighbor string, sim double"
+    return block_join(asks, members.select("_shelf", "_list", "_id", "_vec"), "_shelf", "_key", "_id", tile, schema, SHELF_ROWS)
 
 
 def indexed_neighbors(

@@ -46,6 +46,23 @@ def test_small_fragments_give_the_same(clustered, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_the_second_stage_sends_a_query_once_per_shelf(spark, metric, monkeypatch):
+    """Vectors without clusters leave nearly every list open: they must not be copied once per list."""
+    rng = np.random.default_rng(8)
+    items = vectors_of(spark, [(f"i{n:04d}", v) for n, v in enumerate(rng.normal(size=(600, 16)))])
+    monkeypatch.setattr(neighbor_index, "SHELF_ROWS", 250)
+    monkeypatch.setattr(neighbor_index, "TILE_CELLS", 3_000)
+    monkeypatch.setattr(neighbor_index, "SLICE_CELLS", 400)
+    sent = []
+    search_shelves = neighbor_index._search_shelves
+    monkeypatch.setattr(neighbor_index, "_search_shelves", lambda index, asks, shelves: sent.append((asks.count(), len(set(shelves)))) or search_shelves(index, asks, shelves))
+    got = as_set(neighbor_index.indexed_neighbors(items, 6, metric, probes=20, exact=True, lists=30))
+    assert got == as_set(nearest.item_neighbors(items, 6, metric))
+    asks, shelves = sent[0]
+    assert 3 <= shelves <= 6 and 600 < asks <= 600 * shelves
+
+
 def test_chosen_probes_reach_the_recall(spark):
     items = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").cast("string").alias("item_id"), "embedding")
     true = {(r.item, r.neighbor) for r in nearest.item_neighbors(items, 20).collect()}

@@ -29,7 +29,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ratingloom.operators.block_join import block_join
+from ratingloom.operators.block_join import block_join, piece_rows, slices
 from ratingloom.operators.nearest import METRICS, SIM_DIGITS, best_per_row
 from ratingloom.operators.skew import fragment_join
 from ratingloom.session import durable
@@ -79,14 +79,6 @@ def _gaps(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
-def _slices(batches: Iterator[pa.RecordBatch], columns: int, cells: int) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in pieces over which a matrix of so many columns stays within ``cells``."""
-    rows = max(1, cells // max(1, columns))
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def build_index(
     embeddings: DataFrame,
     k: int,
@@ -123,7 +115,7 @@ def build_index(
     held = spark.sparkContext.broadcast(centres)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, len(held.value), TILE_CELLS):
+        for batch in slices(batches, len(held.value), TILE_CELLS):
             points = _matrix(batch.column("_vec"))
             gaps = _gaps(_unit(points) if metric == "cosine" else points, held.value)
             nearest = gaps.argmin(1)
@@ -158,7 +150,7 @@ def _visited(index: NeighborIndex, queries: DataFrame, probes: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, names = held.value
-        for batch in _slices(batches, len(names), TILE_CELLS):
+        for batch in slices(batches, len(names), TILE_CELLS):
             points = _matrix(batch.column("_vec"))
             gaps = _gaps(_unit(points) if metric == "cosine" else points, centres)
             near = np.argpartition(gaps, probes - 1, axis=1)[:, :probes] if probes < gaps.shape[1] else np.tile(np.arange(gaps.shape[1]), (len(gaps), 1))
@@ -246,9 +238,10 @@ def search(index: NeighborIndex, k: int, probes: int, exact: bool = False, queri
     if exact:
         partial = durable(partial)
         last = _best(partial, index.copies).where(F.col("rank") == index.copies).select("_key", F.col("sim").alias("_last"))
-        shelves = _shelves(index.centres, index.sizes, SHELF_ROWS)
+        rows = piece_rows(int(index.sizes.sum()), FRAGMENT_ROWS, SHELF_ROWS)
+        shelves = _shelves(index.centres, index.sizes, rows)
         more = durable(_undecided(index, seen.join(last, "_key", "left"), shelves))
-        partial = partial.unionByName(_search_shelves(index, more, shelves))
+        partial = partial.unionByName(_search_shelves(index, more, shelves, rows))
     found = _best(partial, index.copies).groupBy("_key").agg(F.collect_list(F.struct("rank", "neighbor", "sim")).alias("_found"))
     # every copy of a vector gets its list, without itself
     per_row = fragment_join(asked, found, ["_key"], ["_id"])
@@ -285,7 +278,7 @@ def _undecided(index: NeighborIndex, queries: DataFrame, shelves: np.ndarray) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, radii, place, numbers, begins = held.value
-        for batch in _slices(batches, len(centres), SLICE_CELLS):
+        for batch in slices(batches, len(centres), SLICE_CELLS):
             points = _matrix(batch.column("_vec"))
             gaps = _gaps(_unit(points) if metric == "cosine" else points, centres)
             last = batch.column("_last").to_numpy(zero_copy_only=False).astype(np.float64)  # null: NaN
@@ -305,7 +298,7 @@ def _undecided(index: NeighborIndex, queries: DataFrame, shelves: np.ndarray) ->
     return queries.select("_key", "_vec", "_lists", "_last").mapInArrow(run, schema)
 
 
-def _search_shelves(index: NeighborIndex, asks: DataFrame, shelves: np.ndarray) -> DataFrame:
+def _search_shelves(index: NeighborIndex, asks: DataFrame, shelves: np.ndarray, side_rows: int) -> DataFrame:
     """(_key, neighbor, sim): per shelf a query asks, at most ``copies`` best members outside its ``_lists`` that reach ``_last``."""
     metric, best, spark = index.metric, index.copies, index.members.sparkSession
     names = spark.createDataFrame([(n, int(shelf)) for n, shelf in enumerate(shelves)], "_list int, _shelf int")
@@ -349,7 +342,7 @@ def _search_shelves(index: NeighborIndex, asks: DataFrame, shelves: np.ndarray)
         )
 
     schema = "_key struct<a:long,b:long>, neighbor string, sim double"
-    return block_join(asks, members.select("_shelf", "_list", "_id", "_vec"), "_shelf", "_key", "_id", tile, schema, SHELF_ROWS)
+    return block_join(asks, members.select("_shelf", "_list", "_id", "_vec"), "_shelf", "_key", "_id", tile, schema, side_rows)
 
 
 def indexed_neighbors(

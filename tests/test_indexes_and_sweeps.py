@@ -56,7 +56,7 @@ def test_the_second_stage_sends_a_query_once_per_shelf(spark, metric, monkeypatc
     monkeypatch.setattr(neighbor_index, "SLICE_CELLS", 400)
     sent = []
     search_shelves = neighbor_index._search_shelves
-    monkeypatch.setattr(neighbor_index, "_search_shelves", lambda index, asks, shelves: sent.append((asks.count(), len(set(shelves)))) or search_shelves(index, asks, shelves))
+    monkeypatch.setattr(neighbor_index, "_search_shelves", lambda index, asks, shelves, rows: sent.append((asks.count(), len(set(shelves)))) or search_shelves(index, asks, shelves, rows))
     got = as_set(neighbor_index.indexed_neighbors(items, 6, metric, probes=20, exact=True, lists=30))
     assert got == as_set(nearest.item_neighbors(items, 6, metric))
     asks, shelves = sent[0]
@@ -118,6 +118,8 @@ def test_silhouette_needs_few_clusters_and_equals_the_plain_one(spark, spread):
     want = plain_silhouette(x, label)
     assert set(got) == {f"p{n}" for n in range(len(x))}
     assert max(abs(got[f"p{n}"] - s) for n, s in enumerate(want)) < 1e-7
+    rows = clustering._labelled(points, "item_id", "embedding", "cluster")
+    assert clustering.undecided_clusters(rows, clustering.cluster_balls(rows), 1_000_000).count() == rows.count()  # one shelf: no vector is copied
     work = clustering.silhouette_work(points).agg(F.sum("distances").alias("d"), F.sum("members").alias("n")).first()
     assert work["n"] == len(x)
     if spread < 1:  # own cluster and hardly more than one other

@@ -67,6 +67,17 @@ def test_pair_sums_are_the_same_rows_however_keys_are_treated(spark, ratings, su
     assert np.allclose([r[3:] for r in plain], [r[3:] for r in heavy])
 
 
+@pytest.mark.parametrize("rows", [3, 2_000])
+def test_pairs_with_a_support_are_summed_where_they_are_formed(spark, ratings, rows):
+    """Keys and entities cut into fragments or not: the sums of all pairs, and no shuffle by both ids."""
+    plain = co_rating_sums(ratings, min_support=1).where("n >= 2")
+    listed = co_rating_sums(ratings, min_support=2, rows_per_fragment=rows)
+    rounded = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert rounded(listed) == rounded(plain) and listed.columns == plain.columns
+    exchanges = [line for line in listed._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(a#" in line]
+    assert exchanges and not any("b#" in line.split("), ")[0] for line in exchanges)
+
+
 def test_scratch_tables_go_with_their_block(spark):
     folder = shared_folder(spark).removeprefix("file:")
     before = set(os.listdir(folder))

@@ -1,6 +1,7 @@
 """Parts appended once, bucketed tables, recorded encoding, sketches, one-scan quantiles and pruned top lists."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,18 @@ def test_pruned_top_lists_equal_the_plain_ones(spark, first):
     assert factorization.factor_top_n(none, 3).collect() == []
 
 
+@pytest.mark.parametrize("again", [False, True])
+def test_visits_of_many_blocks_come_in_bounded_batches(monkeypatch, again):
+    monkeypatch.setattr(factorization, "VISITS", 100)
+    limits = factorization.FactorBlocks(None, np.zeros(40), np.ones(40), np.zeros((40, 2)), np.ones(40))
+    users = {"_id": pa.array([f"u{n}" for n in range(30)]), "_b": pa.array([3.0] * 30), "_f": pa.array([[1.0, 0.0]] * 30)}
+    users |= {"_last": pa.array([None] * 30, pa.float64()), "_seen": pa.array([[n % 40] for n in range(30)], pa.list_(pa.int32()))}
+    batches = list(factorization._block_visits(iter([pa.RecordBatch.from_pydict(users)]), limits, 2, 1.0, 5.0, again))
+    assert max(b.num_rows for b in batches) <= 100
+    got = [(i, c) for b in batches for i, c in zip(b.column("_id").to_pylist(), b.column("_block").to_pylist())]
+    assert got == [(f"u{n}", c) for n in range(30) for c in (range(40) if again else range(2)) if not again or c != n % 40]
+
+
 def test_lloyd_equals_the_plain_steps(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(60, 3))

@@ -265,3 +265,16 @@ def test_sampled_similarity_is_unbiased_and_finds_strong_pairs(spark):
         assert 0.5 < np.sqrt((off**2).mean()) / said.mean() < 2.0  # the stated error is about the real one
     whole = {(r.a, r.b): (r.n, r.sim) for r in sampled_similarity(matrix, "cosine").collect()}
     assert whole.keys() == exact.keys() and all(abs(whole[p][1] - exact[p][1]) < 1e-12 for p in exact)
+
+
+def test_wide_sweeps_are_cut_into_parts(spark, ratings, monkeypatch):
+    wide = factor_sweep.Settings(3, (50, 75, 100, 125), (0.01, 0.02, 0.03, 0.04), (1.0, 5.0))
+    parts = wide.parts()
+    assert max(part.width for part in parts) <= factor_sweep.PART_WIDTH
+    assert [one[:4] for part in parts for one in part.slices] == [one[:4] for one in wide.slices]
+    run = lambda: {tuple(r)[:4]: tuple(r)[4:] for r in factor_sweep.sweep(ratings, (2, 3), (1,), (0.05, 0.3), hot_ratings=12).collect()}
+    whole = run()
+    monkeypatch.setattr(factor_sweep, "PART_WIDTH", 5)
+    cut = run()
+    assert cut.keys() == whole.keys()
+    assert all(np.allclose(cut[k], whole[k], atol=1e-5) for k in whole)

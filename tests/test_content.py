@@ -140,3 +140,26 @@ def test_no_nested_loops_in_prediction_plans(spark, vectors, ratings):
     for df in (content.content_cells(ratings, near), content.content_predict(ratings, ratings, near)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_cells_are_not_shuffled(spark):
+    """Ratings travel with the list of items they reach; cells stay where they are formed, also those of a user in several tasks."""
+    rows = [(f"u{u}", f"i{i}", float((u * 3 + i) % 5 + 1)) for u in range(5) for i in range(u, 9)]
+    rows += [("many", f"i{i}", float(i % 5 + 1)) for i in range(2_100)]
+    matrix = spark.createDataFrame(rows, "user_id string, parent_asin string, rating double")
+    near = [(f"i{i}", f"i{j}", 1.0 / (i + j + 1)) for i in range(9) for j in range(9) if i != j]
+    near += [(f"i{i % 7}", f"i{i}", 0.25) for i in range(9, 2_100)]
+    cells = content.content_cells(matrix, spark.createDataFrame(near, "item string, neighbor string, sim double"))
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id#" in plan
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "_target" in line.split("hashpartitioning")[-1]]
+    sums = {}
+    of = {}
+    for item, neighbor, sim in near:
+        of.setdefault(neighbor, []).append((item, sim))
+    for user, rated, rating in rows:
+        for item, sim in of[rated]:
+            num, den = sums.get((user, item), (0.0, 0.0))
+            sums[user, item] = num + sim * rating, den + sim
+    got = {(r["user_id"], r["parent_asin"]): r["pred"] for r in cells.collect()}
+    assert got == pytest.approx({key: num / den for key, (num, den) in sums.items()})

@@ -5,6 +5,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,37 @@ def test_pairs_with_a_support_are_summed_where_they_are_formed(spark, ratings, r
     assert exchanges and not any("b#" in line.split("), ")[0] for line in exchanges)
 
 
+@pytest.mark.parametrize("rows", [2, 2_000])
+def test_raters_travel_as_bytes(spark, rows):
+    """Null ids and ratings, fragments and tasks or not: the sums of the plain pairs, from packed lists."""
+    cells = [(f"u{u}", f"i{i}", None if (u + i) % 7 == 3 else (u * 5 + i * 3) % 11 / 3) for u in range(13) for i in range(6) if (u * 7 + i * 5) % 4]
+    cells += [(None, "i0", 1.0), (None, "i1", 2.0), ("u0", None, 3.0), ("u1", None, 4.0), ("none", "i0", None), ("none", "i1", None)]
+    df = spark.createDataFrame(cells, "user_id string, parent_asin string, rating double")
+    rounded = lambda df: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect()), key=repr)
+    plain = rounded(co_rating_sums(df.where("user_id is not null and parent_asin is not null"), rows_per_fragment=rows).where("n >= 2"))
+    listed = co_rating_sums(df, rows_per_fragment=rows, min_support=2)
+    assert rounded(listed) == plain and len(plain) > 50
+    assert "MapInArrow" in listed._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("cut", [1, 3, 100])
+def test_packed_lists_and_whole_groups(cut):
+    from ratingloom.operators import packed_lists as lists
+
+    sizes = np.array([3, 0, 1, 2])
+    places, values = np.array([0, 5, 70_000, 4, 9, 2**31 - 1]), lists.with_null(pa.array([1.5, None, float("nan"), 4.0, 5.0, 0.1]))
+    packed = lists.packed(sizes, places, values)
+    of, p, v = lists.unpacked(packed)
+    assert of.tolist() == [0, 0, 0, 2, 3, 3] and p.tolist() == places.tolist() and lists.is_null(v).tolist() == [False, True, False, False, False, False]
+    assert np.array_equal(v[2:], values[2:], equal_nan=True) and v[0] == 1.5
+    table = pa.table({"k": [None, None, "a", "a"], "l": packed})
+    batches = table.to_batches(max_chunksize=cut)
+    for most in (1, 100):
+        parts = list(lists.whole_groups(iter(batches), ["k"], "l", most))
+        assert pa.concat_tables([t for t, _ in parts]).equals(table)
+        assert [t.column("k").to_pylist() for t, _ in parts if most == 1] == ([[None, None], ["a", "a"]] if most == 1 else [])
+
+
 def test_scratch_tables_go_with_their_block(spark):
     folder = shared_folder(spark).removeprefix("file:")
     before = set(os.listdir(folder))

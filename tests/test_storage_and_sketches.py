@@ -181,6 +181,25 @@ def test_pruned_top_lists_equal_the_plain_ones(spark, first):
     assert factorization.factor_top_n(none, 3).collect() == []
 
 
+@pytest.mark.parametrize("merge,dense", [(1, 0), (50_000, 64)])
+def test_users_travel_once_to_a_shelf_of_blocks(spark, monkeypatch, merge, dense):
+    """Most scores lie at an end of the scale or are equal: lists go by id, from one row per user and shelf."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(factorization, "MERGE_ROWS", merge)
+    monkeypatch.setattr(factorization, "DENSE", dense)
+    monkeypatch.setattr(factorization, "BLOCK_ROWS", 100)
+    q, bi = np.round(rng.normal(size=(400, 3)) * 2)[rng.integers(0, 120, 400)], rng.integers(-1, 2, 400) * 1.5
+    p, bu = np.round(rng.normal(size=(30, 3))), np.where(np.arange(30) % 3, 0.0, -9.0)
+    model = model_of(spark, [(f"u{n:02d}", float(bu[n]), p[n].tolist()) for n in range(30)], [(f"i{n:03d}", float(bi[n]), q[n].tolist()) for n in range(400)])
+    score = np.round(np.clip(3 + bu[:, None] + bi[None] + p @ q.T, 1, 5), 6)
+    want = {(f"u{u:02d}", f"i{i:03d}", r + 1) for u in range(30) for r, i in enumerate(np.lexsort((np.arange(400), -score[u]))[:9])}
+    assert {(r.user_id, r.parent_asin, r["rank"]) for r in factorization.factor_top_n(model, 9, block_items=8).collect()} == want
+    limits = factorization.FactorBlocks(None, np.zeros(50), np.ones(50), np.zeros((50, 3)), np.ones(50))
+    users = spark.createDataFrame([(f"u{n}", 3.0, [1.0, 0.0, 0.0], 4.5 if n == 1 else None) for n in range(20)], "_id string, _b double, _f array<double>, _last double")
+    open_ = factorization._open_shelves(users, limits, np.arange(50) // 10, 1.0, 5.0)
+    assert sorted((r["_id"], r["_shelf"]) for r in open_.collect()) == sorted((f"u{n}", s) for n in range(20) if n != 1 for s in range(5))
+
+
 @pytest.mark.parametrize("again", [False, True])
 def test_visits_of_many_blocks_come_in_bounded_batches(monkeypatch, again):
     monkeypatch.setattr(factorization, "VISITS", 100)

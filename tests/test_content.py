@@ -53,6 +53,26 @@ def test_neighbors_against_brute_force(spark, vectors, metric, block_rows):
     assert all(b != item for item, near in got.items() for b, _ in near)
 
 
+@pytest.mark.parametrize("piece", [2, 7])
+def test_large_blocks_are_compared_in_pieces(spark, monkeypatch, piece):
+    """Blocks that grow with the table, in pieces: the same neighbours, ties by id, and fewer copies of a vector."""
+    rng = np.random.default_rng(3)
+    rows = [(f"i{n:02d}", np.round(rng.normal(size=3), 1).tolist()) for n in range(40)] + [(f"copy{n}", [1.0, 2.0, 0.0]) for n in range(6)] + [("nan", [float("nan")] * 3), ("none", None)]
+    df = spark.createDataFrame(rows, "item_id string, embedding array<double>")
+    want = listed(nearest.item_neighbors(df, 5, block_rows=100))
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", piece)
+    for block_rows in (11, 100):
+        assert listed(nearest.item_neighbors(df, 5, block_rows=block_rows)) == want
+    assert listed(nearest.item_neighbors(df, 5)) == want
+    sparse = df.where("item_id not in ('nan', 'none')").selectExpr("item_id doc_id", "array(0, 1, 2) indices", "embedding values")
+    whole = listed(nearest.sparse_neighbors(sparse, 5, block_rows=100))
+    monkeypatch.setattr(nearest, "SPARSE_BLOCK_ROWS", piece)
+    assert listed(nearest.sparse_neighbors(sparse, 5, block_rows=100)) == whole
+    # eight blocks a table, until a block holds so many rows or numbers; never fewer than the least
+    assert nearest.block_size(800_000, 64 * 800_000, 2_048) == 32_768 and nearest.block_size(800_000, 1_000 * 800_000, 2_048) == 4_000
+    assert nearest.block_size(51_282, 64 * 51_282, 2_048) == 6_411 and nearest.block_size(0, 0, 2_048) == 2_048
+
+
 def test_k_is_limited_by_the_other_items(spark, vectors):
     few = vectors.where("item_id < 'i02' and item_id like 'i%'")
     assert nearest.item_neighbors(few, 10).count() == 2
